@@ -1,0 +1,156 @@
+"""Deterministic demand factors of the retail and contact-centre data model."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from demandloom.functions.calendar import is_day_after_holiday, is_holiday
+
+# Sales multiplier by weekday, Monday first.
+SALES_WEEKDAY = (0.9, 0.85, 0.85, 0.9, 1.1, 1.3, 1.2)
+
+# Contact multiplier by weekday, Monday first.
+CONTACT_WEEKDAY = (1.20, 1.05, 1.00, 0.98, 0.95, 0.55, 0.45)
+
+# Contact multiplier by hour of day, midnight first.
+CONTACT_HOUR = (
+    0.08, 0.05, 0.04, 0.04, 0.05, 0.10, 0.25, 0.55, 0.85, 1.20, 1.35, 1.25,
+    0.95, 1.15, 1.30, 1.25, 1.10, 0.90, 0.70, 0.55, 0.40, 0.28, 0.18, 0.12,
+)
+
+# Business unit -> (hourly volume, handle time in seconds, season).
+BUSINESS_UNITS = {
+    "sales_support": (42, 320, "retail"),
+    "billing": (55, 420, "billing"),
+    "technical_support": (70, 540, "tech"),
+    "retention": (28, 600, "retention"),
+    "general_inquiry": (35, 240, "all_year"),
+}
+
+# Channel -> (share of volume, handle-time factor, weekend factor).
+CHANNELS = {
+    "voice": (0.55, 1.00, 0.55),
+    "chat": (0.25, 0.55, 0.85),
+    "email": (0.15, 1.40, 0.70),
+    "social": (0.05, 0.70, 1.10),
+}
+
+# Store size -> conversion factor.
+SIZE_FACTOR = {"large": 1.0, "medium": 0.7, "small": 0.5}
+
+
+def _by_index(values, index: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(float(v)) for v in values]), (index + 1).cast("int"))
+
+
+def _by_name(values: dict[str, float], name: Column) -> Column:
+    pairs = [item for k, v in values.items() for item in (F.lit(k), F.lit(float(v)))]
+    return F.element_at(F.create_map(*pairs), name)
+
+
+def sales_weekday_factor(date: Column) -> Column:
+    return _by_index(SALES_WEEKDAY, F.weekday(date))
+
+
+def size_factor(size: Column) -> Column:
+    return _by_name(SIZE_FACTOR, size)
+
+
+def sales_season_factor(date: Column, season: Column) -> Column:
+    """Seasonal sales multiplier; an unknown season counts as ``all_year``."""
+    day, month = F.dayofyear(date), F.month(date)
+
+    def wave(height: float, shift: int, period: int) -> Column:
+        return height * F.sin(2 * F.pi() * (day + shift) / period)
+
+    holiday = (
+        F.when(month.isin(11, 12), 1.5 + wave(0.3, -300, 60))
+        .when(is_holiday(date), F.lit(1.3))
+        .otherwise(F.lit(1.0))
+    )
+    fitness = F.when(month == 1, 1.5).when(month.isin(5, 6), 1.3).otherwise(1.0)
+    return (
+        F.when(season == "holiday", holiday)
+        .when(season == "summer", 1.0 + wave(0.4, -80, 365))
+        .when(season == "winter", 1.0 + wave(0.3, 90, 365))
+        .when(season == "back_to_school", F.when(month.isin(8, 9), 1.4).otherwise(0.9))
+        .when(season == "fitness", fitness)
+        .when(season == "spring", 1.0 + wave(0.3, -20, 365))
+        .otherwise(F.lit(1.0))
+    )
+
+
+def expected_quantity(
+    traffic: Column, size: Column, price: Column, season_factor: Column, discount: Column
+) -> Column:
+    """Noise-free units sold of one product in one store-day, truncated and floored at 0."""
+    price_factor = 1.0 / (1.0 + price / 100)
+    promotion_factor = 1.0 + discount * 3
+    units = traffic * 0.001 * size_factor(size) * price_factor * season_factor * promotion_factor
+    return F.greatest(F.lit(0), F.floor(units)).cast("long")
+
+
+def sales_amounts(
+    quantity: Column, price: Column, discount: Column, margin: Column
+) -> dict[str, Column]:
+    """Revenue, cost and profit of a sales row."""
+    revenue = quantity * (price * (1 - discount))
+    cost = quantity * price * (1 - margin)
+    return {"revenue": revenue, "cost": cost, "profit": revenue - cost}
+
+
+def days_of_supply(inventory: Column, quantity: Column) -> Column:
+    return inventory / F.greatest(F.lit(1), quantity)
+
+
+def contact_season_factor(date: Column, season: Column) -> Column:
+    month, day = F.month(date), F.dayofmonth(date)
+    retail = F.when(month.isin(11, 12), 1.35).when(month.isin(1, 7), 1.10).otherwise(1.0)
+    cycle = F.when(day <= 5, 1.25).when(day >= 28, 1.10).otherwise(1.0)
+    billing = cycle * F.when(month.isin(3, 4), 1.20).otherwise(1.0)
+    tech = F.when(month.isin(1, 8, 9), 1.25).when(month.isin(11, 12), 1.15).otherwise(1.0)
+    retention = F.when(month.isin(1, 6, 7), 1.20).otherwise(1.0)
+    return (
+        F.when(season == "retail", retail)
+        .when(season == "billing", billing)
+        .when(season == "tech", tech)
+        .when(season == "retention", retention)
+        .otherwise(F.lit(1.0))
+    )
+
+
+def contact_holiday_factor(date: Column, channel: Column) -> Column:
+    """Holidays damp the live channels; the day after brings a catch-up."""
+    on_holiday = (
+        F.when(channel == "voice", 0.35)
+        .when(channel == "chat", 0.50)
+        .when(channel == "social", 0.80)
+        .otherwise(0.90)
+    )
+    after = F.when(channel.isin("voice", "chat"), 1.25).otherwise(1.15)
+    return F.when(is_holiday(date), on_holiday).when(is_day_after_holiday(date), after).otherwise(1.0)
+
+
+def trend_factor(date: Column, start: Column, end: Column) -> Column:
+    """Linear growth of 15% over the window from ``start`` to ``end``."""
+    span = F.greatest(F.datediff(end, start), F.lit(1))
+    return 1.0 + 0.15 * (F.datediff(date, start) / span)
+
+
+def contact_hour_factor(hour: Column) -> Column:
+    return _by_index(CONTACT_HOUR, hour)
+
+
+def contact_weekday_factor(date: Column) -> Column:
+    return _by_index(CONTACT_WEEKDAY, F.weekday(date))
+
+
+def expected_handle_time(
+    base: Column, multiplier: Column, hour: Column, volume: Column, holiday: Column
+) -> Column:
+    """Noise-free handle time: longer at open and close, on sparse hours and holidays."""
+    open_close = F.when(hour.isin(8, 9, 17, 18), 1.15).otherwise(1.0)
+    sparse = F.when(volume < 5, 1.10).otherwise(1.0)
+    quiet = F.when(holiday, 1.08).otherwise(1.0)
+    return F.greatest(F.lit(30.0), base * multiplier * open_close * sparse * quiet)
