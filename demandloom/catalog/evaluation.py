@@ -186,7 +186,7 @@ def error_histogram(spark, folder):
 
 
 @query("residual_boxplot",
-       "model:s q1:2 median:2 q3:2 whisker_low:2 whisker_high:2 n_outliers:i",
+       "model:s q1:4 median:4 q3:4 whisker_low:4 whisker_high:4 n_outliers:i",
        f"""{SCORED}, r AS (SELECT model, actual - prediction AS residual FROM scored),
        q AS (SELECT model, quantile_cont(residual, 0.25) AS q1, median(residual) AS median,
                     quantile_cont(residual, 0.75) AS q3 FROM r GROUP BY 1),

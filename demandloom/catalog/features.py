@@ -27,6 +27,11 @@ STAT_SQL = {
 }
 
 
+def _digits(column: str) -> str:
+    """Deviations agree to fewer places than sums of cents."""
+    return f"{column}:{3 if column.endswith('_std') else 4}"
+
+
 def _lags_sql(lags=LAGS) -> str:
     return ", ".join(f"lag(sales, {k}) OVER ({SERIES}) AS sales_lag_{k}" for k in lags)
 
@@ -129,13 +134,13 @@ def lag_features(spark, folder):
     return features.lag_features(panel(spark, folder))
 
 
-@query("rolling_features", f"{ROW} " + " ".join(f"{c}:2" for c in ROLLING_COLUMNS),
+@query("rolling_features", f"{ROW} " + " ".join(_digits(c) for c in ROLLING_COLUMNS),
        f"{PANEL} => SELECT date, store_id, {_rolling_sql()} FROM panel")
 def rolling_features(spark, folder):
     return features.rolling_features(panel(spark, folder))
 
 
-@query("rolling_leak_free", f"{ROW} sales_rolling_7_mean:2 sales_rolling_7_max:2",
+@query("rolling_leak_free", f"{ROW} sales_rolling_7_mean:4 sales_rolling_7_max:4",
        f"""{PANEL} =>
        SELECT date, store_id, {_rolling_sql((7,), ("mean", "max"), 1)} FROM panel""")
 def rolling_leak_free(spark, folder):
@@ -145,7 +150,7 @@ def rolling_leak_free(spark, folder):
 
 
 @query("rolling_full_window",
-       f"{ROW} " + " ".join(f"{c}:2" for c in [*LAG_COLUMNS, *ROLLING_COLUMNS]),
+       f"{ROW} " + " ".join(_digits(c) for c in [*LAG_COLUMNS, *ROLLING_COLUMNS]),
        f"""{PANEL},
        means AS (SELECT *, avg(sales) OVER (PARTITION BY store_id) AS m FROM panel) =>
        SELECT date, store_id, """
@@ -168,21 +173,24 @@ BLOCK_SERIES = "PARTITION BY store_id ORDER BY date, product_id"
 
 
 @query("blocked_features",
-       f"{ROW} product_id:s sales_lag_1:4 sales_lag_7:4 sales_lag_30:4 sales_rolling_7_mean:2"
-       " sales_rolling_7_max:4 sales_rolling_30_mean:2 sales_rolling_30_max:4",
+       f"{ROW} product_id:s quantity_sold_lag_1:4 quantity_sold_lag_7:4 quantity_sold_lag_30:4"
+       " quantity_sold_rolling_7_mean:4 quantity_sold_rolling_7_max:4"
+       " quantity_sold_rolling_30_mean:4 quantity_sold_rolling_30_max:4",
        f"""{ROLLUP} =>
-       SELECT date, store_id, product_id, lag(sales, 1) OVER w AS sales_lag_1,
-              lag(sales, 7) OVER w AS sales_lag_7, lag(sales, 30) OVER w AS sales_lag_30,
-              avg(sales) OVER w7 AS sales_rolling_7_mean, max(sales) OVER w7 AS sales_rolling_7_max,
-              avg(sales) OVER w30 AS sales_rolling_30_mean,
-              max(sales) OVER w30 AS sales_rolling_30_max
+       SELECT date, store_id, product_id, lag(quantity_sold, 1) OVER w AS quantity_sold_lag_1,
+              lag(quantity_sold, 7) OVER w AS quantity_sold_lag_7,
+              lag(quantity_sold, 30) OVER w AS quantity_sold_lag_30,
+              avg(quantity_sold) OVER w7 AS quantity_sold_rolling_7_mean,
+              max(quantity_sold) OVER w7 AS quantity_sold_rolling_7_max,
+              avg(quantity_sold) OVER w30 AS quantity_sold_rolling_30_mean,
+              max(quantity_sold) OVER w30 AS quantity_sold_rolling_30_max
        FROM daily WINDOW w AS ({BLOCK_SERIES}),
             w7 AS ({BLOCK_SERIES} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
             w30 AS ({BLOCK_SERIES} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""")
 def blocked_features(spark, folder):
     rows = rollup.daily_product_rollup(sales(spark, folder))
     return features.blocked_features(
-        rows, "sales", KEYS, "date", ["product_id"], BLOCK_CONFIG, block_rows=1000
+        rows, "quantity_sold", KEYS, "date", ["product_id"], BLOCK_CONFIG, block_rows=1000
     )
 
 
@@ -282,7 +290,7 @@ ALL_CONFIG = FeatureConfig(lags=(1, 7), windows=(7,), stats=("mean", "std"))
 
 @query("all_features",
        f"{ROW} sales:2 year:i weekofyear:i is_weekend:i is_holiday:i day_sin:6 sales_lag_1:2"
-       " sales_lag_7:2 sales_rolling_7_mean:2 sales_rolling_7_std:2 quantity_sold:2",
+       " sales_lag_7:2 sales_rolling_7_mean:4 sales_rolling_7_std:3 quantity_sold:2",
        f"""{PANEL},
        raw AS (SELECT *, {_lags_sql((1, 7))}, {_rolling_sql((7,), ("mean", "std"))} FROM panel) =>
        SELECT date, store_id, sales, year(date) AS year, week(date) AS weekofyear,

@@ -31,7 +31,7 @@ last_window AS (
   FROM ranked GROUP BY 1)"""
 
 
-@query("last_window", "store_id:s last_date:d " + " ".join(f"{c}:2" for c in LAG_COLUMNS + ROLLING_COLUMNS),
+@query("last_window", "store_id:s last_date:d " + " ".join(f"{c}:4" for c in LAG_COLUMNS + ROLLING_COLUMNS),
        f"{LAST} => SELECT * FROM last_window")
 def last_window(spark, folder):
     return scoring.last_window(panel(spark, folder))

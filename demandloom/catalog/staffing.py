@@ -15,7 +15,7 @@ TEXTBOOK = StaffingAssumptions(formula="erlang_c")
 
 CELL = "timestamp:t channel:s"
 PLAN = (
-    "volume:i average_handle_time:4 workload:6 productive_agents:0 required_agents:0"
+    "volume:i average_handle_time:6 workload:6 productive_agents:0 required_agents:0"
     " occupancy_used:6"
 )
 
@@ -24,7 +24,7 @@ def cube(spark, folder):
     return staffing.demand_cube(contacts(spark, folder))
 
 
-@query("demand_cube", f"{CELL} volume:i average_handle_time:4", f"{CUBE} => SELECT * FROM cube")
+@query("demand_cube", f"{CELL} volume:i average_handle_time:6", f"{CUBE} => SELECT * FROM cube")
 def demand_cube(spark, folder):
     return cube(spark, folder)
 
@@ -58,7 +58,7 @@ met AS (SELECT * EXCLUDE (n, inverse, level), min(n) FILTER (WHERE level >= 0.80
         FROM levels GROUP BY ALL),
 agents AS (SELECT *, greatest(sl_agents, ceil(workload / 0.85::DOUBLE)) AS productive_agents FROM met),
 plan AS (SELECT a.*, ceil(productive_agents / (1.0::DOUBLE - 0.30::DOUBLE)) AS required_agents,
-                workload / productive_agents AS occupancy_used,
+                a.workload / productive_agents AS occupancy_used,
                 l.level AS service_level_estimated
          FROM agents a JOIN levels l ON l.timestamp = a.timestamp AND l.channel = a.channel
               AND l.n = a.productive_agents)"""
@@ -106,7 +106,7 @@ def service_levels(spark, folder):
     )
 
 
-@query("staffing_rollup", "channel:s volume:i average_handle_time:4 workload:4 required_agents:0",
+@query("staffing_rollup", "channel:s volume:i average_handle_time:6 workload:6 required_agents:0",
        f"""{CUBE}, total AS (SELECT channel, sum(volume) AS volume,
               sum(volume * average_handle_time) / sum(volume) AS average_handle_time
               FROM cube GROUP BY 1),
@@ -117,7 +117,7 @@ def staffing_rollup(spark, folder):
     return staffing.staffing_by(cube(spark, folder), ["channel"], OCCUPANCY)
 
 
-@query("weighted_handle_time", "day:d channel:s volume:i average_handle_time:4",
+@query("weighted_handle_time", "day:d channel:s volume:i average_handle_time:6",
        f"""{CUBE} => SELECT CAST(timestamp AS DATE) AS day, channel, sum(volume) AS volume,
            sum(volume * average_handle_time) / sum(volume) AS average_handle_time
        FROM cube GROUP BY 1, 2""")
@@ -181,7 +181,7 @@ def sales_staffing(spark, folder):
     return staffing.staffing_plan(rows, daily)
 
 
-@query("channel_staffing_large", "o_orderpriority:s volume:i workload:4 productive_agents:0 required_agents:0")
+@query("channel_staffing_large", "o_orderpriority:s volume:i workload:6 productive_agents:0 required_agents:0")
 def channel_staffing_large(spark, folder):
     rows = table(spark, folder, "orders").groupBy("o_orderpriority").agg(
         F.count("*").alias("volume"), F.lit(300.0).alias("average_handle_time")

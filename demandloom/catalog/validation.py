@@ -62,7 +62,7 @@ def duplicate_rows(spark, folder):
 
 
 @query("iqr_outliers",
-       "column:s q1:4 q3:4 lower_bound:4 upper_bound:4 n_outliers:i pct_outliers:4 min_outlier:4"
+       "column:s q1:6 q3:6 lower_bound:6 upper_bound:6 n_outliers:i pct_outliers:4 min_outlier:4"
        " max_outlier:4",
        f"""long AS ({_long(MEASURES, "lineitem")} UNION ALL {_long(["c_acctbal"], "customer")}),
        {OUTLIERS_SQL} =>
@@ -73,7 +73,7 @@ def iqr_outliers(spark, folder):
     return lines.unionByName(validate.iqr_outliers(table(spark, folder, "customer"), ["c_acctbal"]))
 
 
-@query("exact_quantiles", "store_id:s share:2 quantile:2",
+@query("exact_quantiles", "store_id:s share:2 quantile:4",
        f"""{PANEL}, shares AS (SELECT unnest([0.1, 0.5, 0.9]) AS share) =>
        SELECT store_id, share, CASE share WHEN 0.1 THEN a WHEN 0.5 THEN b ELSE c END AS quantile
        FROM (SELECT store_id, quantile_cont(sales, 0.1) AS a, quantile_cont(sales, 0.5) AS b,

@@ -46,7 +46,7 @@ def naive_fold_scores(
     folds = rolling_origin_folds(fold_sizes(df, keys, target), config, keys)
     step = (F.col("position") - F.col("test_start") + 1).cast("int")
     test = fold_rows(rows, folds, keys).withColumn("step", step)
-    value = F.element_at("__back", F.ceil(F.col("step") / season).cast("int"))
+    value = F.get("__back", F.floor((F.col("step") - 1) / season).cast("int"))
     return test.where(F.col("train_end") >= season).select(
         *keys,
         F.lit("seasonal_naive").alias("model"),

@@ -226,7 +226,8 @@ def forecast_origins(
     Result: ``keys, model, fold_id, step, position, prediction, error``; a failed fit has its
     message in ``error`` and no prediction.
     """
-    folds = origins.groupBy(*keys).agg(
+    # Fresh aliases, because origins usually descend from the history itself.
+    folds = origins.select(*[F.col(c).alias(c) for c in origins.columns]).groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("fold_id", "train_end", "horizon"))).alias("__folds")
     )
     clean = history.where(F.col(target).isNotNull()).select(

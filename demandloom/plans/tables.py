@@ -40,7 +40,7 @@ def per_group(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "
     renamed = stats.withColumnsRenamed({k: f"__{k}" for k in keys})
     condition = F.lit(True)
     for key in keys:
-        condition = condition & df[key].eqNullSafe(renamed[f"__{key}"])
+        condition = condition & F.col(key).eqNullSafe(F.col(f"__{key}"))
     return df.join(renamed, condition, how).drop(*[f"__{k}" for k in keys])
 
 
