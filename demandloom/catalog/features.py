@@ -211,17 +211,19 @@ def trend_features(spark, folder):
     return features.trend_features(panel(spark, folder))
 
 
-@query("ewm_features", f"{ROW} sales_ewm_7:2 sales_ewm_14:2",
+@query("ewm_features", f"{ROW} ewm_7_share:8 ewm_14_share:8",
        f"""{PANEL},
-       so_far AS (SELECT date, store_id, list(sales) OVER ({SERIES} ROWS BETWEEN UNBOUNDED
+       so_far AS (SELECT date, store_id, sales, list(sales) OVER ({SERIES} ROWS BETWEEN UNBOUNDED
                   PRECEDING AND CURRENT ROW) AS x FROM panel) =>
        SELECT date, store_id,
-              list_reduce(x, lambda a, b: 0.75::DOUBLE * a + 0.25::DOUBLE * b) AS sales_ewm_7,
-              list_reduce(x, lambda a, b: (1 - 2.0::DOUBLE / 15) * a + (2.0::DOUBLE / 15) * b)
-                AS sales_ewm_14
+              list_reduce(x, lambda a, b: 0.75::DOUBLE * a + 0.25::DOUBLE * b) / sales
+                AS ewm_7_share,
+              list_reduce(x, lambda a, b: (1 - 2.0::DOUBLE / 15) * a + (2.0::DOUBLE / 15) * b) / sales
+                AS ewm_14_share
        FROM so_far""")
 def ewm_features(spark, folder):
-    return features.ewm_features(panel(spark, folder))
+    smooth = features.ewm_features(panel(spark, folder))
+    return smooth.withColumns({f"ewm_{s}_share": F.col(f"sales_ewm_{s}") / F.col("sales") for s in (7, 14)})
 
 
 HOLED = f"""{PANEL},

@@ -117,7 +117,7 @@ def staffing_rollup(spark, folder):
     return staffing.staffing_by(cube(spark, folder), ["channel"], OCCUPANCY)
 
 
-@query("weighted_handle_time", "day:d channel:s volume:i average_handle_time:6",
+@query("weighted_handle_time", "day:d channel:s volume:i average_handle_time:8",
        f"""{CUBE} => SELECT CAST(timestamp AS DATE) AS day, channel, sum(volume) AS volume,
            sum(volume * average_handle_time) / sum(volume) AS average_handle_time
        FROM cube GROUP BY 1, 2""")

@@ -73,17 +73,18 @@ def panel_row_naive_scores(
     is set by the configuration, not by the data.
     """
     rows = panel_positions(_clean(df, target), keys, date)
-    sizes = rows.agg(F.count(F.lit(1)).alias("n")).withColumn("__all", F.lit(1))
-    folds = rolling_origin_folds(sizes, config, ["__all"])
+    folds = rolling_origin_folds(rows.agg(F.count(F.lit(1)).alias("n")), config, [])
     first = folds.agg(F.min("test_start").alias("first")).scalar()
-    tail = rows.where(F.col("position") >= first - season).withColumn("__all", F.lit(1))
-    pattern = (
-        tail.join(F.broadcast(folds), "__all")
-        .where(F.col("position").between(F.col("train_end") - season, F.col("train_end") - 1))
-        .select("fold_id", (F.col("position") - F.col("train_end") + season).alias("__slot"),
-                F.col(target).alias("prediction"))
+    tail = rows.where(F.col("position") >= first - season)
+    ahead = folds.withColumns(
+        {"test_start": F.col("train_end") - season, "test_end": F.col("train_end")}
     )
-    test = fold_rows(tail, folds, ["__all"]).withColumn(
+    pattern = fold_rows(tail, ahead, []).select(
+        "fold_id",
+        (F.col("position") - F.col("test_start")).alias("__slot"),
+        F.col(target).alias("prediction"),
+    )
+    test = fold_rows(tail, folds, []).withColumn(
         "step", (F.col("position") - F.col("test_start") + 1).cast("int")
     )
     slotted = test.withColumn("__slot", ((F.col("step") - 1) % season).cast("long"))

@@ -148,7 +148,7 @@ def error_histogram(
 def residual_box(scored: DataFrame) -> DataFrame:
     """Box-plot statistics of the residuals per model."""
     data = scored.select("model", _residual().alias("residual")).where(finite(F.col("residual")))
-    bounds = quartile_bounds(data, "residual", ["model"])
+    bounds = quartile_bounds(data, "residual", ["model"], few_keys=True)
     # One row per model.
     tagged = data.join(F.broadcast(bounds), "model")
     inside = F.col("residual").between(F.col("lower_bound"), F.col("upper_bound"))

@@ -42,8 +42,7 @@ def _time_measures(
     )
     seconds = F.unix_timestamp(F.col("__t").cast("timestamp"))
     starts = times.groupBy("model").agg(F.min(seconds).alias("__start"))
-    # One row per model, a number set by the run's settings.
-    placed = times.join(F.broadcast(starts), "model")
+    placed = times.join(starts, "model")
     on_grid = (seconds - F.col("__start")) % step == 0
     return placed.groupBy("model").agg(
         F.sum("__rows").alias("n_rows"),

@@ -17,14 +17,19 @@ SMALL_GROUP = 10 * ACCURACY
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, shares: Sequence[float], keys: Sequence[str] = ()
+    df: DataFrame,
+    value: str,
+    shares: Sequence[float],
+    keys: Sequence[str] = (),
+    few_keys: bool = False,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group: columns ``keys``, ``share``, ``quantile``.
 
     A mergeable sketch brackets the wanted ranks; the rows inside the brackets, about
     ``4 / ACCURACY`` of the group, are counted per distinct value and ranked exactly. A group
-    of any size is therefore aggregated on the map side and never sorted as a whole. ``keys``
-    must be few (columns, models), because their statistics are broadcast.
+    of any size is therefore aggregated on the map side and never sorted as a whole. With
+    ``few_keys`` the caller vouches that the groups are bounded by the schema or the settings
+    (columns, models), and their statistics are broadcast.
     """
     data = df.select(*keys, F.col(value).cast("double").alias("__v")).where(finite(F.col("__v")))
     probes = sorted({p for s in shares for p in (max(0.0, s + -1 * SLACK), min(1.0, s + 1 * SLACK))})
@@ -60,7 +65,7 @@ def exact_quantiles(
         F.sort_array(F.collect_list(F.struct("share", "low", "high", "__n"))).alias("__b")
     )
     if keys:
-        tagged = data.join(F.broadcast(one_row), list(keys))
+        tagged = data.join(F.broadcast(one_row) if few_keys else one_row, list(keys))
     else:
         tagged = data.withColumn("__b", one_row.select("__b").scalar())
     # One pass: rows below a bracket are only counted, rows inside keep their value.
@@ -92,10 +97,14 @@ def exact_quantiles(
 
 
 def quartile_bounds(
-    df: DataFrame, value: str, keys: Sequence[str] = (), reach: float = 1.5
+    df: DataFrame,
+    value: str,
+    keys: Sequence[str] = (),
+    reach: float = 1.5,
+    few_keys: bool = False,
 ) -> DataFrame:
     """Quartiles and outlier fences ``q1 - reach * iqr`` and ``q3 + reach * iqr`` per group."""
-    long = exact_quantiles(df, value, (0.25, 0.5, 0.75), keys)
+    long = exact_quantiles(df, value, (0.25, 0.5, 0.75), keys, few_keys)
 
     def pick(share: float) -> Column:
         return F.max(F.when(F.col("share") == share, F.col("quantile")))

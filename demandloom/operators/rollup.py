@@ -68,15 +68,13 @@ def with_promotions(daily: DataFrame, summary: DataFrame) -> DataFrame:
     )
 
 
-def with_traffic(daily: DataFrame, summary: DataFrame) -> DataFrame:
-    return daily.join(summary, ["date", "store_id"], "left")
+def with_traffic(panel: DataFrame, summary: DataFrame) -> DataFrame:
+    """Attach traffic and holiday of the store-day; both are constant within it."""
+    return panel.join(summary, ["date", "store_id"], "left")
 
 
 def store_day_panel(daily: DataFrame) -> DataFrame:
-    """Training panel per (date, store).
-
-    Traffic and holiday are constant within a store-day, so their maximum is that value.
-    """
+    """Totals and promotion share per (date, store)."""
     return (
         without_null_keys(daily, ("date", "store_id"))
         .groupBy("date", "store_id")
@@ -85,8 +83,6 @@ def store_day_panel(daily: DataFrame) -> DataFrame:
             _total("quantity_sold"),
             _total("profit"),
             F.avg("has_promotion").alias("has_promotion"),
-            F.max("customer_traffic").alias("customer_traffic"),
-            F.max("is_holiday").alias("is_holiday"),
         )
     )
 
@@ -94,19 +90,22 @@ def store_day_panel(daily: DataFrame) -> DataFrame:
 def training_panel(
     sales: DataFrame, promotions: DataFrame | None, traffic: DataFrame | None
 ) -> DataFrame:
-    """Product roll-up, promotion and traffic joins, store-day roll-up, in one plan."""
+    """Product roll-up, promotion join, store-day roll-up and traffic join, in one plan.
+
+    Traffic joins after the store-day roll-up: both sides are then already partitioned by
+    (date, store), and the product rows need not be shuffled for it.
+    """
     daily = daily_product_rollup(sales)
     if promotions is not None:
         daily = with_promotions(daily, promo_summary(promotions))
     else:
         daily = daily.withColumn("has_promotion", F.lit(0))
+    panel = store_day_panel(daily)
     if traffic is not None:
-        daily = with_traffic(daily, traffic_summary(traffic))
-    else:
-        daily = daily.withColumns(
-            {"customer_traffic": F.lit(None).cast("long"), "is_holiday": F.lit(None).cast("int")}
-        )
-    return store_day_panel(daily)
+        return with_traffic(panel, traffic_summary(traffic))
+    return panel.withColumns(
+        {"customer_traffic": F.lit(None).cast("long"), "is_holiday": F.lit(None).cast("int")}
+    )
 
 
 def daily_series(panel: DataFrame, target: str = "sales", date: str = "date") -> DataFrame:

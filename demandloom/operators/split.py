@@ -121,12 +121,26 @@ def fold_sizes(df: DataFrame, keys: Sequence[str], target: str = "sales") -> Dat
 def fold_rows(
     positioned: DataFrame, folds: DataFrame, keys: Sequence[str], part: str = "test"
 ) -> DataFrame:
-    """Rows of each fold: an equi-join on the series with the fold bounds as a range filter."""
-    joined = positioned.join(folds, list(keys))
+    """Rows of each fold of their series.
+
+    The folds of a series travel as one short array, so a row meets them through one equi-join
+    on the series and is repeated only for the folds it belongs to. Without keys the array
+    comes from a scalar subquery.
+    """
+    bounds = [c for c in folds.columns if c not in keys]
+    packed = folds.groupBy(*keys).agg(F.collect_list(F.struct(*bounds)).alias("__folds"))
+    if keys:
+        joined = per_group(positioned, packed, keys, "inner")
+    else:
+        joined = positioned.withColumn("__folds", packed.scalar())
     position = F.col("position")
-    if part == "train":
-        return joined.where(position < F.col("train_end"))
-    return joined.where((position >= F.col("test_start")) & (position < F.col("test_end")))
+
+    def member(fold: Column) -> Column:
+        if part == "train":
+            return position < fold["train_end"]
+        return (position >= fold["test_start"]) & (position < fold["test_end"])
+
+    return joined.select(*positioned.columns, F.inline(F.filter("__folds", member)))
 
 
 def early_stopping_slice(

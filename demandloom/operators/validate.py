@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.config import TableContract
-from demandloom.operators.quantiles import exact_quantiles, quartile_bounds
+from demandloom.operators.quantiles import quartile_bounds
 from demandloom.plans.tables import finite, scalar_stats, whole_series
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -145,7 +145,7 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> D
         .unpivot([], list(columns), "column", "value")
         .where(finite(F.col("value")))
     )
-    bounds = quartile_bounds(long, "value", ["column"], reach)
+    bounds = quartile_bounds(long, "value", ["column"], reach, few_keys=True)
     # One row per named column: the statistics are bounded by the width of the table.
     tagged = long.join(F.broadcast(bounds), "column")
     out = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
