@@ -179,7 +179,7 @@ def ewm_features(
     keys: Sequence[str] = ("store_id",),
     date: str = "date",
     spans: Sequence[int] = DEFAULTS.ewm_spans,
-    block: int = 256,
+    block: int | None = None,
 ) -> DataFrame:
     """Exponentially weighted mean per series, ``y[t] = a x[t] + (1 - a) y[t-1]``, ``y[0] = x[0]``.
 
@@ -189,16 +189,19 @@ def ewm_features(
     """
     if min(spans) < 2:
         raise ValueError("spans must be >= 2")
-    window = whole_series(keys, date)
-    placed = df.withColumn("__t", F.row_number().over(window) - 1)
-    placed = placed.withColumn("__block", F.floor(F.col("__t") / block))
-    placed = placed.withColumn("__i", F.col("__t") % block)
     inside = Window.partitionBy(*keys, "__block").orderBy("__i")
     running = inside.rowsBetween(Window.unboundedPreceding, 0)
     across = Window.partitionBy(*keys).orderBy("__block")
     names = {s: f"{target}_ewm_{s}" for s in spans}
     decay = {s: 1.0 - 2.0 / (s + 1.0) for s in spans}
-    terms = {s: math.ceil(40.0 / (-math.log(decay[s]) * block)) for s in spans}
+    fade = {s: -math.log(d) for s, d in decay.items()}
+    # Long blocks keep the chain short, but the fastest decay must not overflow inside one.
+    block = block or int(600.0 / max(fade.values()))
+    terms = {s: math.ceil(40.0 / (fade[s] * block)) for s in spans}
+    window = whole_series(keys, date)
+    placed = df.withColumn("__t", F.row_number().over(window) - 1)
+    placed = placed.withColumn("__block", F.floor(F.col("__t") / block))
+    placed = placed.withColumn("__i", F.col("__t") % block)
 
     def weight(span: int) -> Column:
         return F.when(F.col("__t") == 0, F.lit(1.0)).otherwise(F.lit(1.0 - decay[span]))
