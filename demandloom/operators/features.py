@@ -17,7 +17,6 @@ from demandloom.config import FeatureConfig
 from demandloom.functions import calendar
 from demandloom.plans.tables import (
     blocked,
-    per_group,
     range_slices,
     scalar_stats,
     whole_series,
@@ -184,58 +183,41 @@ def ewm_features(
     """Exponentially weighted mean per series, ``y[t] = a x[t] + (1 - a) y[t-1]``, ``y[0] = x[0]``.
 
     The recurrence is solved in closed form inside blocks of rows, as a running sum of
-    ``x / (1 - a)^i``, and the block ends are chained by the same recurrence over blocks, as far
-    back as a block still has weight at double precision. The target must have no nulls.
+    ``x / (1 - a)^i``, and the block ends are chained by the same recurrence over the few blocks
+    of a series. Every step keeps the partitioning by series. The target must have no nulls.
     """
     if min(spans) < 2:
         raise ValueError("spans must be >= 2")
-    inside = Window.partitionBy(*keys, "__block").orderBy("__i")
-    running = inside.rowsBetween(Window.unboundedPreceding, 0)
-    across = Window.partitionBy(*keys).orderBy("__block")
     names = {s: f"{target}_ewm_{s}" for s in spans}
     decay = {s: 1.0 - 2.0 / (s + 1.0) for s in spans}
-    fade = {s: -math.log(d) for s, d in decay.items()}
     # Long blocks keep the chain short, but the fastest decay must not overflow inside one.
-    block = block or int(600.0 / max(fade.values()))
-    terms = {s: math.ceil(40.0 / (fade[s] * block)) for s in spans}
-    window = whole_series(keys, date)
-    placed = df.withColumn("__t", F.row_number().over(window) - 1)
+    block = block or int(600.0 / max(-math.log(d) for d in decay.values()))
+    series = whole_series(keys, date)
+    placed = df.withColumn("__t", F.row_number().over(series) - 1)
     placed = placed.withColumn("__block", F.floor(F.col("__t") / block))
-    placed = placed.withColumn("__i", F.col("__t") % block)
+    placed = placed.withColumn("__i", (F.col("__t") % block).cast("double"))
+    inside = Window.partitionBy(*keys, "__block").orderBy("__i")
+    running = inside.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = series.rowsBetween(Window.unboundedPreceding, -1)
 
-    def weight(span: int) -> Column:
-        return F.when(F.col("__t") == 0, F.lit(1.0)).otherwise(F.lit(1.0 - decay[span]))
+    def local(d: float) -> Column:
+        weight = F.when(F.col("__t") == 0, F.lit(1.0)).otherwise(F.lit(1.0 - d))
+        scaled = weight * F.col(target) * F.pow(F.lit(d), -F.col("__i"))
+        return F.sum(scaled).over(running) * F.pow(F.lit(d), F.col("__i"))
 
-    local = placed.withColumns(
-        {
-            f"__local_{s}": F.sum(
-                weight(s) * F.col(target) * F.pow(F.lit(decay[s]), -F.col("__i"))
-            ).over(running)
-            * F.pow(F.lit(decay[s]), F.col("__i"))
-            for s in spans
-        }
-    )
-    ends = local.groupBy(*keys, "__block").agg(
-        *[F.max_by(f"__local_{s}", "__i").alias(f"__end_{s}") for s in spans]
-    )
-    carries = ends.select(
-        *keys,
-        "__block",
-        *[
-            sum(
-                F.coalesce(F.lag(f"__end_{s}", k + 1).over(across), F.lit(0.0))
-                * (decay[s] ** (block * k))
-                for k in range(terms[s])
-            ).alias(f"__carry_{s}")
-            for s in spans
-        ],
-    )
-    joined = per_group(local, carries, [*keys, "__block"], "inner")
-    out = joined.withColumns(
+    def carry(s: int) -> Column:
+        ends = F.collect_list(F.when(F.col("__i") == block - 1, F.col(f"__local_{s}")))
+        return F.aggregate(
+            ends.over(earlier), F.lit(0.0), lambda acc, end: acc * decay[s] ** block + end
+        )
+
+    out = placed.withColumns({f"__local_{s}": local(d) for s, d in decay.items()})
+    out = out.withColumns({f"__carry_{s}": carry(s) for s in spans})
+    out = out.withColumns(
         {
             names[s]: F.col(f"__local_{s}")
-            + F.col(f"__carry_{s}") * F.pow(F.lit(decay[s]), F.col("__i") + 1)
-            for s in spans
+            + F.col(f"__carry_{s}") * F.pow(F.lit(d), F.col("__i") + 1)
+            for s, d in decay.items()
         }
     )
     return out.select(*df.columns, *names.values())
@@ -247,17 +229,16 @@ def fill_series(
     keys: Sequence[str] = ("store_id",),
     date: str = "date",
 ) -> DataFrame:
-    """Forward fill, then backward fill, within each series."""
+    """Forward fill, then backward fill, within each series.
+
+    What a forward fill leaves open is the head of a series, so the backward fill is the first
+    value of the whole series; no frame that shrinks row by row is needed.
+    """
     window = whole_series(keys, date)
     past = window.rowsBetween(Window.unboundedPreceding, 0)
-    future = window.rowsBetween(0, Window.unboundedFollowing)
+    whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return df.withColumns(
-        {
-            c: F.coalesce(
-                F.last(c, ignorenulls=True).over(past), F.first(c, ignorenulls=True).over(future)
-            )
-            for c in columns
-        }
+        {c: F.coalesce(F.last(c, True).over(past), F.first(c, True).over(whole)) for c in columns}
     )
 
 
@@ -273,65 +254,42 @@ def fill_panel(
     Rows are only ordered inside their series. What crosses a border is carried over a table
     with one row per series, in range slices, and from slice to slice over one row per slice.
     """
-    window = whole_series(keys, date)
+    window = whole_series(["__series"], date)
     past = window.rowsBetween(Window.unboundedPreceding, 0)
-    forward = df.withColumns(
+    forward = df.withColumn("__series", F.struct(*keys)).withColumns(
         {f"__fwd_{c}": F.last(c, ignorenulls=True).over(past) for c in columns}
     )
+    dated = {c: F.when(F.col(c).isNotNull(), F.col(date)) for c in columns}
     edges = df.groupBy(*keys).agg(
-        *[
-            F.max_by(c, F.when(F.col(c).isNotNull(), F.col(date))).alias(f"__last_{c}")
-            for c in columns
-        ],
-        *[
-            F.min_by(c, F.when(F.col(c).isNotNull(), F.col(date))).alias(f"__first_{c}")
-            for c in columns
-        ],
+        *[F.max_by(c, dated[c]).alias(f"__last_{c}") for c in columns],
+        *[F.min_by(c, dated[c]).alias(f"__first_{c}") for c in columns],
     )
     sliced = range_slices(edges, keys)
 
-    def carry(table: DataFrame, window) -> DataFrame:
-        before = window.rowsBetween(Window.unboundedPreceding, -1)
-        onward = window.rowsBetween(0, Window.unboundedFollowing)
+    def before(table: DataFrame, window, prefix: str) -> DataFrame:
+        frame = window.rowsBetween(Window.unboundedPreceding, -1)
         return table.withColumns(
-            {
-                **{f"__in_{c}": F.last(f"__last_{c}", True).over(before) for c in columns},
-                **{f"__next_{c}": F.first(f"__first_{c}", True).over(onward) for c in columns},
-            }
+            {f"{prefix}{c}": F.last(f"__last_{c}", True).over(frame) for c in columns}
         )
 
-    near = carry(sliced, Window.partitionBy("__slice").orderBy(*keys))
+    def ranked(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), F.col("__rank"))
+
+    near = before(sliced, Window.partitionBy("__slice").orderBy("__rank"), "__near_")
     slices = sliced.groupBy("__slice").agg(
-        *[
-            F.max_by(f"__last_{c}", F.when(F.col(f"__last_{c}").isNotNull(), F.col("__rank")))
-            .alias(f"__last_{c}")
-            for c in columns
-        ],
-        *[
-            F.min_by(f"__first_{c}", F.when(F.col(f"__first_{c}").isNotNull(), F.col("__rank")))
-            .alias(f"__first_{c}")
-            for c in columns
-        ],
+        *[F.max_by(f"__last_{c}", ranked(f"__last_{c}")).alias(f"__last_{c}") for c in columns]
     )
-    far = carry(slices, Window.orderBy("__slice")).select(
-        "__slice",
-        *[F.col(f"__in_{c}").alias(f"__far_in_{c}") for c in columns],
-        *[
-            F.first(f"__first_{c}", True)
-            .over(Window.orderBy("__slice").rowsBetween(1, Window.unboundedFollowing))
-            .alias(f"__far_next_{c}")
-            for c in columns
-        ],
+    far = before(slices, Window.orderBy("__slice"), "__far_").drop(*[f"__last_{c}" for c in columns])
+    # Only rows ahead of the first value of the whole table are left to the backward fill.
+    head = scalar_stats(
+        sliced, **{c: F.min_by(f"__first_{c}", ranked(f"__first_{c}")) for c in columns}
     )
     carried = near.join(far, "__slice").select(
-        *keys,
-        *[F.coalesce(f"__in_{c}", f"__far_in_{c}").alias(f"__in_{c}") for c in columns],
-        *[F.coalesce(f"__next_{c}", f"__far_next_{c}").alias(f"__next_{c}") for c in columns],
+        F.struct(*keys).alias("__series"),
+        *[F.coalesce(f"__near_{c}", f"__far_{c}").alias(f"__in_{c}") for c in columns],
     )
-    joined = per_group(forward, carried, keys)
-    filled = {
-        c: F.coalesce(f"__fwd_{c}", f"__in_{c}", f"__next_{c}") for c in columns
-    }
+    joined = forward.join(carried, "__series").withColumn("__head", head)
+    filled = {c: F.coalesce(f"__fwd_{c}", f"__in_{c}", f"__head.{c}") for c in columns}
     return joined.select(*[filled.get(c, F.col(c)).alias(c) for c in df.columns])
 
 

@@ -8,15 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.config import CvConfig, HorizonConfig, SplitConfig
-from demandloom.plans.tables import per_group, scalar_stats, whole_series
+from demandloom.plans.tables import per_group, whole_series
 
 
 def _running_days(df: DataFrame, date: str) -> DataFrame:
-    """Rows per date with the number of rows before it: one row per calendar day."""
+    """Rows per date, rows before it and rows in all: one row per calendar day."""
     days = df.groupBy(date).agg(F.count(F.lit(1)).alias("__n"))
     order = Window.orderBy(F.col(date).asc_nulls_last())
     before = F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return days.withColumn("__before", F.coalesce(before, F.lit(0)))
+    total = F.sum("__n").over(
+        order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+    return days.withColumns({"__before": F.coalesce(before, F.lit(0)), "__total": total})
 
 
 def chronological_split(
@@ -32,14 +35,11 @@ def chronological_split(
     key order. Only such border dates are ranked; for every other date the running count per
     day decides. With ``by="date"`` a border date stays whole, in the earlier split.
     """
-    total = F.col("__total.n")
+    total = F.col("__total")
     n_train = F.floor(total * F.lit(1 - config.test_size - config.validation_size))
     n_val = F.floor(total * F.lit(config.validation_size))
-    days = _running_days(df, date).withColumn(
-        "__total", scalar_stats(df, n=F.count(F.lit(1)))
-    )
     cuts = {"__cut1": n_train, "__cut2": n_train + n_val}
-    days = days.withColumns(cuts).drop("__total")
+    days = _running_days(df, date).withColumns(cuts).drop("__total")
 
     def crosses(cut: str) -> Column:
         return (F.col("__before") < F.col(cut)) & (F.col("__before") + F.col("__n") > F.col(cut))
@@ -62,13 +62,17 @@ def chronological_split(
     return clear.unionByName(border).select(*df.columns, "split")
 
 
+def _placed(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
+    inside = F.row_number().over(Window.partitionBy(date).orderBy(*keys)) - 1
+    placed = per_group(df, _running_days(df, date), [date], "inner")
+    return placed.withColumn("position", F.col("__before") + inside).drop("__n", "__before")
+
+
 def panel_positions(
     df: DataFrame, keys: Sequence[str] = ("store_id",), date: str = "date"
 ) -> DataFrame:
     """0-based place of every row in the panel sorted by (date, keys), as ``position``."""
-    inside = F.row_number().over(Window.partitionBy(date).orderBy(*keys)) - 1
-    placed = per_group(df, _running_days(df, date), [date], "inner")
-    return placed.withColumn("position", F.col("__before") + inside).drop("__n", "__before")
+    return _placed(df, keys, date).drop("__total")
 
 
 def series_positions(
@@ -150,12 +154,9 @@ def early_stopping_slice(
 
     Of a table too short to spare them, no row is marked.
     """
-    total = F.col("__total.n")
+    total = F.col("__total")
     held = F.greatest(F.lit(1).cast("long"), F.floor(total * F.lit(share)))
     start = F.when(total > held + 5, total - held).otherwise(total)
-    placed = panel_positions(df, keys, date).withColumn(
-        "__total", scalar_stats(df, n=F.count(F.lit(1)))
-    )
-    return placed.withColumn("is_validation", F.col("position") >= start).drop(
+    return _placed(df, keys, date).withColumn("is_validation", F.col("position") >= start).drop(
         "__total", "position"
     )

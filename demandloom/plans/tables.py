@@ -69,19 +69,24 @@ def positions(
 
     Counts per (keys, time) are summed over the calendar first, so the row-level window is
     partitioned by (keys, time): a group holding a large share of all rows still spreads
-    over as many tasks as it has time values.
+    over as many tasks as it has time values. The cell is one struct column, which compares
+    equal on nulls, so that counting, ranking and joining share one partitioning.
     """
-    counts = df.groupBy(*keys, time).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*keys).orderBy(F.col(time).asc_nulls_first())
-    offsets = counts.withColumn(
-        "__offset",
-        F.coalesce(F.sum("__n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).drop("__n")
-    inside = Window.partitionBy(*keys, time).orderBy(*ties)
-    ranked = df.withColumn("__inside", F.row_number().over(inside) - 1)
-    joined = per_group(ranked, offsets, [*keys, time], "inner")
+    placed = df.withColumn("__cell", F.struct(*keys, time))
+    counts = placed.groupBy("__cell").agg(F.count(F.lit(1)).alias("__n"))
+    series = Window.partitionBy(*[f"__cell.{k}" for k in keys])
+    before = series.orderBy(F.col(f"__cell.{time}").asc_nulls_first())
+    offsets = counts.select(
+        "__cell",
+        F.coalesce(
+            F.sum("__n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("__offset"),
+    )
+    inside = Window.partitionBy("__cell").orderBy(*ties)
+    ranked = placed.withColumn("__inside", F.row_number().over(inside) - 1)
+    joined = ranked.join(offsets, "__cell")
     return joined.withColumn(name, (F.col("__offset") + F.col("__inside")).cast("long")).drop(
-        "__offset", "__inside"
+        "__cell", "__offset", "__inside"
     )
 
 
