@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from demandloom.catalog.registry import query
 from demandloom.catalog.tables import panel
-from demandloom.config import FeatureConfig
-from demandloom.operators import features, learn, select, split
+from demandloom.config import METRICS, CvConfig, FeatureConfig
+from demandloom.operators import evaluate, features, learn, metrics, select, split
+from demandloom.plans import flows
+from demandloom.plans.tables import durable
 
 CONFIG = FeatureConfig(lags=(1, 7, 14), windows=(7, 28), stats=("mean", "std"))
 FEATURES = [
@@ -49,3 +51,18 @@ def feature_importance(spark, folder):
 def feature_selection(spark, folder):
     rows = training_rows(spark, folder).where("split = 'train'")
     return learn.select_features(rows, FEATURES, trees=100, depth=4)
+
+
+@query("training_holdout", "model:s " + " ".join(f"{m}:4" for m in METRICS))
+def training_holdout(spark, folder):
+    """Boosted and classical members and their ensemble on the test rows."""
+    members = flows.scored_members(training_rows(spark, folder), FEATURES, {"boosted": SMALL})
+    return metrics.forecast_metrics(flows.with_ensemble(durable(members)))
+
+
+@query("boosted_cv", "model:s fold_id:i rmse:4 mae:4 bias:4")
+def boosted_cv(spark, folder):
+    rows = training_rows(spark, folder).where("split <> 'test'")
+    tiny = {"boosted": {"maxIter": 5, "maxDepth": 3, "stepSize": 0.3}}
+    scores = evaluate.learner_fold_scores(rows, FEATURES, CvConfig(n_splits=2), tiny)
+    return evaluate.fold_metrics(scores, ["model", "fold_id"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from demandloom.config import CvConfig, HorizonConfig
 from demandloom.operators.forecast import SEASON, forecast_origins
+from demandloom.operators.learn import boosted_trees, predict
 from demandloom.operators.metrics import by_horizon, fold_aggregates, forecast_metrics, horizon_table
 from demandloom.operators.split import (
     fold_rows,
@@ -18,7 +20,7 @@ from demandloom.operators.split import (
     rolling_origin_folds,
     series_positions,
 )
-from demandloom.plans.tables import whole_series
+from demandloom.plans.tables import durable, whole_series
 
 
 def _clean(df: DataFrame, target: str) -> DataFrame:
@@ -114,6 +116,54 @@ def classical_fold_scores(
     )
 
 
+def learner_fold_scores(
+    df: DataFrame,
+    features: Sequence[str],
+    config: CvConfig | HorizonConfig,
+    presets: Mapping[str, Mapping[str, Any]],
+    keys: Sequence[str] = ("store_id",),
+    date: str = "date",
+    target: str = "sales",
+    seed: int = 42,
+) -> DataFrame:
+    """Predictions of the boosted learners on folds of the panel sorted by (date, keys).
+
+    One model covers all series, so the folds are a short loop of distributed fits over rows
+    that are numbered and checkpointed once. The last tenth of each fold's training rows stops
+    the boosting.
+    """
+    numbered = durable(
+        panel_positions(_clean(df, target), keys, date).select(
+            *keys, date, target, *[f for f in features if f not in keys], "position"
+        )
+    )
+    sizes = numbered.agg(F.count(F.lit(1)).alias("n"))
+    parts = []
+    for fold in rolling_origin_folds(sizes, config, []).collect():
+        end, stop = fold["train_end"], fold["test_end"]
+        held = max(1, end // 10)
+        late = F.col("position") >= (end - held if end > held + 5 else end)
+        train = numbered.where(F.col("position") < end).withColumn("is_validation", late)
+        test = numbered.where((F.col("position") >= end) & (F.col("position") < stop))
+        for name, params in presets.items():
+            model = boosted_trees(train, features, target, params, "is_validation", seed)
+            parts.append(
+                predict(model, test).select(
+                    *keys,
+                    F.lit(name).alias("model"),
+                    F.lit(fold["fold_id"]).alias("fold_id"),
+                    F.lit(end).alias("train_end"),
+                    (F.col("position") - end + 1).cast("int").alias("step"),
+                    date,
+                    F.col(target).alias("actual"),
+                    "prediction",
+                )
+            )
+    if not parts:
+        raise ValueError("Not enough rows for a fold")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def fold_metrics(
     scores: DataFrame, by: Sequence[str] = ("store_id", "model", "fold_id")
 ) -> DataFrame:

@@ -155,9 +155,19 @@ def score_requests(
     keys: Sequence[str] = ("store_id",),
     date: str = "date",
     target: str = "sales",
+    extras: Sequence[str] = (),
 ) -> DataFrame:
-    """Score valid requests with the latest features of their series."""
+    """Score valid requests with the latest features of their series.
+
+    ``extras`` names entries of the map column ``additional_features`` that become columns, in
+    place of the request defaults.
+    """
     good = checked_requests(requests, date).where(F.col("error").isNull()).drop("error")
+    if extras:
+        given = {e: F.element_at("additional_features", F.lit(e)).try_cast("double") for e in extras}
+        good = good.withColumns(
+            {e: F.coalesce(v, F.lit(REQUEST_DEFAULTS.get(e)).cast("double")) for e, v in given.items()}
+        )
     state = last_window(history, keys, date, target).drop("last_date")
     return predict(request_features(per_group(good, state, keys), date))
 

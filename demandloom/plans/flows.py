@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,13 @@ from demandloom.config import (
     QualityThresholds,
     SplitConfig,
     StaffingAssumptions,
+    enabled_models,
 )
 from demandloom.operators import (
+    ensemble,
     evaluate,
     features,
+    learn,
     metrics,
     quality,
     scoring,
@@ -26,6 +30,7 @@ from demandloom.operators import (
     split,
     staffing,
 )
+from demandloom.sources import panel as files
 
 
 def prepared_panel(
@@ -45,6 +50,50 @@ def prepared_panel(
     return parts.where(F.col(target).isNotNull())
 
 
+def scored_members(
+    parts: DataFrame,
+    inputs: Sequence[str],
+    presets: Mapping[str, Mapping[str, Any]] = learn.PRESETS,
+    models: Mapping[str, Mapping[str, Any]] | None = None,
+    keys: Sequence[str] = ("store_id",),
+    date: str = "date",
+    target: str = "sales",
+) -> DataFrame:
+    """Validation and test predictions of every member, as one long table.
+
+    Boosted members are fitted on the training rows and stopped by the validation rows.
+    Classical members forecast the validation rows from training and the test rows from both.
+    Columns: ``stage, keys, date, model, actual, prediction``.
+    """
+    columns = ["stage", *keys, date, "model", "actual", "prediction"]
+    fit = parts.where("split <> 'test'").withColumn("is_validation", F.col("split") == "val")
+    held = parts.where("split <> 'train'")
+    tables = []
+    for name, params in presets.items():
+        model = learn.boosted_trees(fit, inputs, target, params)
+        tables.append(
+            learn.predict(model, held).select(
+                F.col("split").alias("stage"), *keys, date, F.lit(name).alias("model"),
+                F.col(target).alias("actual"), "prediction",
+            )
+        )
+    chosen = enabled_models() if models is None else models
+    if chosen:
+        classical = evaluate.holdout_scores(parts, chosen, keys, date, target)
+        tables.append(classical.where(F.col("prediction").isNotNull()).select(*columns))
+    return reduce(DataFrame.unionByName, tables)
+
+
+def with_ensemble(
+    scored: DataFrame, keys: Sequence[str] = ("store_id",), date: str = "date"
+) -> DataFrame:
+    """Test rows of every member and of their ensemble, weighted by validation R2."""
+    weights = ensemble.score_weights(scored.where("stage = 'val'"))
+    test = scored.where("stage = 'test'").drop("stage")
+    blended = ensemble.weighted_prediction(test, [*keys, date], weights)
+    return test.unionByName(blended.withColumn("model", F.lit("ensemble")))
+
+
 def review_tables(
     parts: DataFrame,
     scored: DataFrame,
@@ -77,6 +126,15 @@ def review_tables(
     }
 
 
+def write_review(tables: Mapping[str, DataFrame], checks: DataFrame, path: str) -> None:
+    """Write the report tables as CSV, all of them as JSON, and the quality text."""
+    for name, table in tables.items():
+        files.write_csv(table, f"{path}/{name}")
+    files.write_report(dict(tables), f"{path}/report")
+    lines = quality.quality_text(checks).orderBy("model", "place")
+    files.write_lines(lines, f"{path}/quality_text")
+
+
 def forecast_to_staffing(
     history: DataFrame,
     predict: Callable[[DataFrame], DataFrame],

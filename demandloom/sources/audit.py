@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -19,8 +20,10 @@ def _open_error(path: str, deep: bool) -> str | None:
     import pyarrow.parquet as pq
     from pyarrow import fs
 
+    # Spark writes local paths as file:/x, Arrow reads them as file:///x.
+    uri = re.sub(r"^file:/(?!/)", "file:///", path)
     try:
-        system, name = fs.FileSystem.from_uri(path)
+        system, name = fs.FileSystem.from_uri(uri)
         with system.open_input_file(name) as handle:
             file = pq.ParquetFile(handle)
             if deep:
@@ -40,9 +43,7 @@ def audit_files(listing: DataFrame, deep: bool = False) -> DataFrame:
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            errors = batch["path"].map(lambda p: _open_error(p.replace("file:/", "file:///", 1)
-                                       if p.startswith("file:/") and not p.startswith("file://")
-                                       else p, deep))
+            errors = batch["path"].map(lambda p: _open_error(p, deep))
             status = errors.isna().map({True: "valid", False: "corrupted"})
             yield pd.DataFrame({"path": batch["path"], "status": status, "error": errors})
 
@@ -72,3 +73,14 @@ def missing_artifacts(
         F.explode(F.filter(fragments, lambda e: F.contains(F.col(path), e))).alias("artifact")
     ).distinct()
     return wanted.join(found, "artifact", "left_anti")
+
+
+def artifact_summary(listing: DataFrame, expected: Sequence[str], path: str = "path") -> DataFrame:
+    """Listed files, missing artifacts, and whether the listing is complete."""
+    missing = missing_artifacts(listing, expected, path).agg(
+        F.sort_array(F.collect_list("artifact")).alias("missing")
+    )
+    counted = listing.agg(F.count(F.lit(1)).alias("n_files")).withColumn("missing", missing.scalar())
+    return counted.withColumn(
+        "success", (F.col("n_files") > 0) & (F.size("missing") == 0)
+    )
