@@ -42,7 +42,7 @@ def staffing_occupancy(spark, folder):
 
 
 def _erlang_sql(formula: str) -> str:
-    wait = "1 / inverse" if formula == "reference" else (
+    wait = "1 / inverse" if formula == "blocking" else (
         "(n * (1 / inverse)) / (n - workload * (1 - 1 / inverse))"
     )
     return f"""
@@ -68,7 +68,7 @@ DEMAND = f"""{CUBE}, demand AS (SELECT timestamp, channel, volume, average_handl
 
 
 @query("staffing_erlang", f"{CELL} {PLAN} service_level_estimated:6",
-       f"{DEMAND}, {_erlang_sql('reference')} => SELECT * FROM plan")
+       f"{DEMAND}, {_erlang_sql('blocking')} => SELECT * FROM plan")
 def staffing_erlang(spark, folder):
     return staffing.staffing_plan(cube(spark, folder), ERLANG)
 

@@ -19,7 +19,7 @@ def workload(volume: Column, handle_time: Column, interval_seconds: int = 3600)
     return volume * handle_time / F.lit(float(interval_seconds))
 
 
-def wait_probability(agents: Column, load: Column, formula: str = "reference") -> Column:
+def wait_probability(agents: Column, load: Column, formula: str = "blocking") -> Column:
     """Probability that a contact waits, for ``agents`` on an offered ``load``.
 
     The blocking term is built as ``1 / I`` with ``I[n] = 1 + I[n-1] n / load``, which neither
@@ -38,7 +38,7 @@ def service_level(
     load: Column,
     handle_time: Column,
     answer_time_seconds: float = 20.0,
-    formula: str = "reference",
+    formula: str = "blocking",
 ) -> Column:
     """Share of contacts answered in time, within [0, 1]."""
     decay = F.exp(

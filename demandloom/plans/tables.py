@@ -102,9 +102,9 @@ def blocked(
     """Row-based window columns over groups of any size.
 
     Each group is cut into blocks of ``block_rows`` consecutive rows and every block is given
-    the ``lookback`` rows before it, so that ``build(window)`` sees whole frames; the extra
-    rows are dropped afterwards. ``build`` maps a window to ``{name: Column}`` and may look
-    back at most ``lookback`` rows. The result equals the unblocked window.
+    the ``lookback`` rows before it, so that ``build(rows, window)`` sees whole frames; the
+    extra rows are dropped afterwards. ``build`` adds columns over the window and may look back
+    at most ``lookback`` rows. The result equals the unblocked window.
     """
     if block_rows <= lookback:
         raise ValueError("block_rows must exceed lookback")
@@ -115,7 +115,7 @@ def blocked(
     spread = placed.withColumn("__home", block).withColumn("__block", F.explode(homes))
     window = Window.partitionBy(*keys, "__block").orderBy("__position")
     return (
-        spread.withColumns(build(window))
+        build(spread, window)
         .where(F.col("__home") == F.col("__block"))
         .drop("__home", "__block", "__position")
     )

@@ -39,7 +39,7 @@ def plan(spark, rows, cfg):
     return {(r["volume"], r["average_handle_time"]): r for r in staffing.staffing_plan(df, cfg).collect()}
 
 
-@pytest.mark.parametrize("formula, chance", [("reference", blocked), ("erlang_c", waiting)])
+@pytest.mark.parametrize("formula, chance", [("blocking", blocked), ("erlang_c", waiting)])
 def test_plan_matches_direct_search(spark, formula, chance):
     cfg = StaffingAssumptions(formula=formula)
     grid = [g for g in GRID if g[0] * g[1] / 3600 < 100]
@@ -101,7 +101,7 @@ def test_more_volume_needs_no_fewer_agents(spark):
 
 def test_expressions_match_solver(spark):
     df = spark.createDataFrame([(n, a) for n in (1, 5, 12) for a in (0.3, 4.0, 11.5)], "n int, a double")
-    for formula, chance in (("reference", blocked), ("erlang_c", waiting)):
+    for formula, chance in (("blocking", blocked), ("erlang_c", waiting)):
         rows = df.select("n", "a", staffing.wait_probability(F.col("n"), F.col("a"), formula).alias("p")).collect()
         for r in rows:
             assert r["p"] == pytest.approx(1.0 if r["n"] <= r["a"] else chance(r["n"], r["a"]))
