@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ def exact_quantiles(
     ``few_keys`` the caller vouches that the groups are bounded by the schema or the settings
     (columns, models), and their statistics are broadcast.
     """
+    shares = sorted(shares)
     data = df.select(*keys, F.col(value).cast("double").alias("__v")).where(finite(F.col("__v")))
     probes = sorted({p for s in shares for p in (max(0.0, s + -1 * SLACK), min(1.0, s + 1 * SLACK))})
     sketch = data.groupBy(*keys).agg(
@@ -48,32 +50,46 @@ def exact_quantiles(
         sketched = F.element_at("__probe", probes.index(probe) + 1)
         return F.when(F.col("__n") <= SMALL_GROUP, edge).otherwise(sketched)
 
-    wanted = F.explode(
+    brackets = sketch.select(
+        *keys,
         F.array(
             *[
                 F.struct(
                     F.lit(float(s)).alias("share"),
                     bound(s, -1).alias("low"),
                     bound(s, 1).alias("high"),
+                    "__n",
                 )
                 for s in shares
             ]
-        )
-    )
-    brackets = sketch.select(*keys, "__n", wanted.alias("__w")).select(*keys, "__n", "__w.*")
-    one_row = brackets.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("share", "low", "high", "__n"))).alias("__b")
+        ).alias("__b"),
     )
-    if keys:
-        tagged = data.join(F.broadcast(one_row) if few_keys else one_row, list(keys))
-    else:
-        tagged = data.withColumn("__b", one_row.select("__b").scalar())
-    # One pass: rows below a bracket are only counted, rows inside keep their value.
-    hits = tagged.select(*keys, "__v", F.inline("__b")).where(F.col("__v") <= F.col("high"))
-    inside = F.when(F.col("__v") >= F.col("low"), F.col("__v"))
-    counts = hits.groupBy(*keys, "share", "__n", inside.alias("__v")).agg(
+
+    def with_brackets(rows: DataFrame) -> DataFrame:
+        if keys:
+            return rows.join(F.broadcast(brackets) if few_keys else brackets, list(keys))
+        return rows.withColumn("__b", brackets.scalar())
+
+    tagged = with_brackets(data)
+    # One pass without repeating rows: a row is counted under the number of brackets that start
+    # at or below it, and keeps its value only inside a bracket.
+    v = F.col("__v")
+    entries = [F.get("__b", F.lit(i)) for i in range(len(shares))]
+    bounds = [(entry["low"], entry["high"]) for entry in entries]
+    started = sum((v >= low).cast("int") for low, _ in bounds)
+    inside = reduce(lambda x, y: x | y, [v.between(low, high) for low, high in bounds])
+    cells = tagged.groupBy(*keys, started.alias("__k"), F.when(inside, v).alias("__v")).agg(
         F.count(F.lit(1)).alias("__c")
     )
+    hits = with_brackets(cells).select(*keys, "__k", "__v", "__c", F.posexplode("__b").alias("__i", "__w"))
+    below = F.col("__k") <= F.col("__i")
+    value = F.when(~below & (v >= F.col("__w.low")) & (v <= F.col("__w.high")), v)
+    counts = (
+        hits.select(*keys, "__w.share", "__w.__n", below.alias("__below"), value.alias("__v"), "__c")
+        .where("__below OR __v IS NOT NULL")
+        .groupBy(*keys, "share", "__n", "__v")
+        .agg(F.sum("__c").alias("__c"))
+    )
     # Rows below the bracket have a null value and sort first.
     order = Window.partitionBy(*keys, "share").orderBy(F.col("__v").asc_nulls_first())
     upto = F.sum("__c").over(order.rowsBetween(Window.unboundedPreceding, 0))
