@@ -43,6 +43,13 @@ WEEKDAY_DATES = (
 )
 
 
+def wall_seconds(time: Column) -> Column:
+    """Seconds of the clock reading since 1970, whatever the session's zone and clock changes."""
+    wall = time.cast("timestamp_ntz")
+    days = F.datediff(F.to_date(wall), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86_400 + F.hour(wall) * 3_600 + F.minute(wall) * 60 + F.second(wall)
+
+
 def date_parts(date: Column) -> dict[str, Column]:
     """Year to ISO week, Monday-based weekday, weekend and holiday flags."""
     return {

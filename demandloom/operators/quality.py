@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.config import CHECKS, QualityThresholds
+from demandloom.functions.calendar import wall_seconds
 from demandloom.plans.tables import finite
 
 # Status names by code.
@@ -40,7 +41,7 @@ def _time_measures(
     times = cells.groupBy("model", "__t").agg(
         F.sum("__n").alias("__rows"), F.sum(F.col("__n") - 1).alias("__extra")
     )
-    seconds = F.unix_timestamp(F.col("__t").cast("timestamp"))
+    seconds = wall_seconds(F.col("__t"))
     starts = times.groupBy("model").agg(F.min(seconds).alias("__start"))
     placed = times.join(starts, "model")
     on_grid = (seconds - F.col("__start")) % step == 0

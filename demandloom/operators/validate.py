@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.config import TableContract
+from demandloom.functions.calendar import wall_seconds
 from demandloom.operators.quantiles import quartile_bounds
 from demandloom.plans.tables import finite, scalar_stats, whole_series
 
@@ -269,7 +270,7 @@ def interval_seconds(df: DataFrame, time: str = "timestamp") -> DataFrame:
     borders = ends.withColumn("__previous", previous).drop("__end")
     inside = F.lag("__t").over(whole_series(["__day"], "__t"))
     linked = seen.withColumn("__before", inside).join(borders, "__day")
-    step = F.timestamp_diff("SECOND", F.coalesce("__before", "__previous"), F.col("__t"))
+    step = wall_seconds(F.col("__t")) - wall_seconds(F.coalesce("__before", "__previous"))
     steps = linked.select(
         F.explode(
             F.array(

@@ -30,6 +30,20 @@ def test_missing_days(spark, missing, status):
     assert got["missing_timestamps"] == (status, float(missing))
 
 
+def test_clock_changes_leave_no_holes(spark):
+    """Daily and hourly calendars are complete across a change to summer time."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        days = frame(spark, [(i, "a", 100.0, 100.0) for i in range(60, 90)])
+        assert statuses(days)["missing_timestamps"] == ("PASS", 0.0)
+        hours = [(dt.datetime(2024, 3, 9) + dt.timedelta(hours=i), "a", "m", 1.0, 1.0) for i in range(72)]
+        df = spark.createDataFrame(hours, SCHEMA.replace("date date", "date timestamp_ntz"))
+        got = statuses(df, thresholds=QualityThresholds(expected_freq="h"))
+        assert got["missing_timestamps"] == ("PASS", 0.0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_null_times(spark):
     got = statuses(frame(spark, [(0, "a", 1.0, 1.0), (None, "a", 1.0, 1.0)]))
     assert got["missing_timestamps"] == ("WARNING", 1.0)
