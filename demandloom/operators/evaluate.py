@@ -74,10 +74,10 @@ def panel_row_naive_scores(
     Only the tail that the folds and their last season reach into is put in order; its length
     is set by the configuration, not by the data.
     """
-    rows = panel_positions(_clean(df, target), keys, date)
+    rows = _clean(df, target)
     folds = rolling_origin_folds(rows.agg(F.count(F.lit(1)).alias("n")), config, [])
     first = folds.agg(F.min("test_start").alias("first")).scalar()
-    tail = rows.where(F.col("position") >= first - season)
+    tail = panel_positions(rows, keys, date, first - season)
     ahead = folds.withColumns(
         {"test_start": F.col("train_end") - season, "test_end": F.col("train_end")}
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,54 @@ def _running_days(df: DataFrame, date: str) -> DataFrame:
     return days.withColumns({"__before": F.coalesce(before, F.lit(0)), "__total": total})
 
 
+def _segments(
+    df: DataFrame,
+    keys: Sequence[str],
+    date: str,
+    cuts: Callable[[Column], Sequence[Column]],
+    whole_days: bool = False,
+) -> DataFrame:
+    """Add ``__segment``: how many of the row-count cuts lie at or before a row.
+
+    Rows are in (date, keys) order. The running count per day places every day that no cut
+    crosses. For the few days that one does, the key at the cut is looked up from the key
+    columns alone, and rows compare with it. The table itself is neither sorted nor shuffled.
+    """
+    days = _running_days(df, date)
+    wanted = cuts(F.col("__total"))
+    marks = {f"__cut{i}": f"__edge{i}" for i in range(len(wanted))}
+    days = days.withColumns(dict(zip(marks, wanted))).drop("__total")
+
+    def crossed(mark: str) -> Column:
+        ends = F.col("__before") + F.col("__n")
+        return (F.col("__before") < F.col(mark)) & (ends > F.col(mark))
+
+    if not whole_days:
+        border = days.where(reduce(lambda x, y: x | y, [crossed(m) for m in marks]))
+        inside = F.row_number().over(Window.partitionBy(date).orderBy(*keys)) - 1
+        ranked = per_group(df.select(date, *keys), border, [date], "inner").withColumn(
+            "__position", F.col("__before") + inside
+        )
+
+        def key_at(mark: str) -> Column:
+            hit = crossed(mark) & (F.col("__position") == F.col(mark))
+            return F.max(F.when(hit, F.struct(*keys)))
+
+        edges = ranked.groupBy(date).agg(*[key_at(m).alias(e) for m, e in marks.items()])
+        days = per_group(days, edges, [date])
+    placed = per_group(df, days, [date], "inner")
+
+    def reached(mark: str, edge: str) -> Column:
+        day = F.col("__before") >= F.col(mark)
+        if whole_days:
+            return day
+        return F.when(F.col(edge).isNotNull(), F.struct(*keys) >= F.col(edge)).otherwise(day)
+
+    steps = [reached(m, e).cast("int") for m, e in marks.items()]
+    segment = reduce(lambda x, y: x + y, steps)
+    return placed.withColumn("__segment", segment).select(*df.columns, "__segment")
+
+
 def chronological_split(
     df: DataFrame,
     keys: Sequence[str] = ("store_id",),
@@ -32,47 +81,36 @@ def chronological_split(
     """Add ``split``: the first 70% of rows by date train, 10% validate, the rest test.
 
     Cut points are row counts, so a date may straddle two splits; its rows are then taken in
-    key order. Only such border dates are ranked; for every other date the running count per
-    day decides. With ``by="date"`` a border date stays whole, in the earlier split.
+    key order, (date, keys) being the grain of the table. With ``by="date"`` a straddled date
+    stays whole, in the earlier split.
     """
-    total = F.col("__total")
-    n_train = F.floor(total * F.lit(1 - config.test_size - config.validation_size))
-    n_val = F.floor(total * F.lit(config.validation_size))
-    cuts = {"__cut1": n_train, "__cut2": n_train + n_val}
-    days = _running_days(df, date).withColumns(cuts).drop("__total")
 
-    def crosses(cut: str) -> Column:
-        return (F.col("__before") < F.col(cut)) & (F.col("__before") + F.col("__n") > F.col(cut))
+    def cuts(total: Column) -> list[Column]:
+        n_train = F.floor(total * F.lit(1 - config.test_size - config.validation_size))
+        return [n_train, n_train + F.floor(total * F.lit(config.validation_size))]
 
-    days = days.withColumn("__border", crosses("__cut1") | crosses("__cut2"))
-    placed = per_group(df, days, [date], "inner")
-
-    def named(position: Column) -> Column:
-        return (
-            F.when(position < F.col("__cut1"), "train")
-            .when(position < F.col("__cut2"), "val")
-            .otherwise("test")
-        )
-
-    if by == "date":
-        return placed.withColumn("split", named(F.col("__before"))).select(*df.columns, "split")
-    inside = F.row_number().over(Window.partitionBy(date).orderBy(*keys)) - 1
-    border = placed.where("__border").withColumn("split", named(F.col("__before") + inside))
-    clear = placed.where("not __border").withColumn("split", named(F.col("__before")))
-    return clear.unionByName(border).select(*df.columns, "split")
-
-
-def _placed(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
-    inside = F.row_number().over(Window.partitionBy(date).orderBy(*keys)) - 1
-    placed = per_group(df, _running_days(df, date), [date], "inner")
-    return placed.withColumn("position", F.col("__before") + inside).drop("__n", "__before")
+    names = F.array(F.lit("train"), F.lit("val"), F.lit("test"))
+    out = _segments(df, keys, date, cuts, whole_days=by == "date")
+    return out.withColumn("split", F.get(names, F.col("__segment"))).drop("__segment")
 
 
 def panel_positions(
-    df: DataFrame, keys: Sequence[str] = ("store_id",), date: str = "date"
+    df: DataFrame,
+    keys: Sequence[str] = ("store_id",),
+    date: str = "date",
+    start: Column | None = None,
 ) -> DataFrame:
-    """0-based place of every row in the panel sorted by (date, keys), as ``position``."""
-    return _placed(df, keys, date).drop("__total")
+    """0-based place of every row in the panel sorted by (date, keys), as ``position``.
+
+    With ``start`` only places from there on are kept, and earlier days are not ranked.
+    """
+    days = _running_days(df, date)
+    if start is not None:
+        days = days.where(F.col("__before") + F.col("__n") > start)
+    placed = per_group(df, days, [date], "inner")
+    inside = F.row_number().over(Window.partitionBy(date).orderBy(*keys)) - 1
+    out = placed.withColumn("position", F.col("__before") + inside).select(*df.columns, "position")
+    return out if start is None else out.where(F.col("position") >= start)
 
 
 def series_positions(
@@ -154,9 +192,10 @@ def early_stopping_slice(
 
     Of a table too short to spare them, no row is marked.
     """
-    total = F.col("__total")
-    held = F.greatest(F.lit(1).cast("long"), F.floor(total * F.lit(share)))
-    start = F.when(total > held + 5, total - held).otherwise(total)
-    return _placed(df, keys, date).withColumn("is_validation", F.col("position") >= start).drop(
-        "__total", "position"
-    )
+
+    def cuts(total: Column) -> list[Column]:
+        held = F.greatest(F.lit(1).cast("long"), F.floor(total * F.lit(share)))
+        return [F.when(total > held + 5, total - held).otherwise(total)]
+
+    out = _segments(df, keys, date, cuts)
+    return out.withColumn("is_validation", F.col("__segment") > 0).drop("__segment")
