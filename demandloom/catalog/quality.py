@@ -96,19 +96,26 @@ def quality_flat(spark, folder):
 
 
 @query("quality_text", "model:s place:i line:s",
-       f"""{QUALITY} =>
+       f"""{QUALITY},
+       texts AS (
+         SELECT model, 'missing_timestamps' AS "check",
+                printf('Found %d missing timestamps', holes::BIGINT) AS message FROM facts
+         UNION ALL SELECT model, 'duplicate_timestamps',
+                printf('Found %d duplicate timestamps', duplicates::BIGINT) FROM facts
+         UNION ALL SELECT model, 'negative_volumes',
+                printf('Found %d negative actual volumes', negative_actuals::BIGINT) FROM facts
+         UNION ALL SELECT model, 'negative_predictions',
+                printf('Found %d negative predictions', negative_predictions::BIGINT) FROM facts
+         UNION ALL SELECT model, 'missing_predictions',
+                printf('Missing/non-finite predictions: share %.4f', missing_share) FROM facts
+         UNION ALL SELECT model, 'excessive_bias',
+                printf('Forecast bias=%.4f (relative=%.4f)', bias, abs(bias) / size) FROM facts
+         UNION ALL SELECT model, 'abnormal_errors',
+                printf('Errors RMSE=%.4f, MAE=%.4f, WAPE=%.2f%%, rel_RMSE=%.4f', rmse, mae, wape,
+                       rmse / size) FROM facts) =>
        SELECT model, 0 AS place, '[' || {NAMED} || '] ' || model AS line FROM report
        UNION ALL SELECT model, list_position([{", ".join(f"'{c}'" for c in CHECKS)}], "check"),
-         '  - ' || {NAMED} || ': ' || "check" || ' - ' || CASE "check"
-           WHEN 'missing_timestamps' THEN printf('Found %d missing timestamps', metric_value::BIGINT)
-           WHEN 'duplicate_timestamps'
-             THEN printf('Found %d duplicate timestamps', metric_value::BIGINT)
-           WHEN 'negative_volumes'
-             THEN printf('Found %d negative actual volumes', metric_value::BIGINT)
-           WHEN 'negative_predictions'
-             THEN printf('Found %d negative predictions', metric_value::BIGINT) END
-       FROM checks WHERE "check" NOT IN
-         ('missing_predictions', 'excessive_bias', 'abnormal_errors')""")
+         '  - ' || {NAMED} || ': ' || "check" || ' - ' || message
+       FROM checks JOIN texts USING (model, "check")""")
 def quality_text(spark, folder):
-    lines = quality.quality_text(checks(spark, folder))
-    return lines.where("place <= 4")
+    return quality.quality_text(checks(spark, folder))

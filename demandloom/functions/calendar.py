@@ -5,7 +5,8 @@ All of them are plain column expressions, so no calendar table has to be joined.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -93,13 +94,29 @@ def month_position(date: Column) -> dict[str, Column]:
     }
 
 
-def _on_fixed_date(date: Column, month: int, day: int, first_year: int | None) -> Column:
-    hit = (F.month(date) == month) & (F.dayofmonth(date) == day)
-    return hit if first_year is None else hit & (F.year(date) >= first_year)
+def _holidays(date: Column) -> dict[str, Column]:
+    """Condition of every holiday on ``date``, actual ones before observed ones.
 
-
-def _first_match(cases: Mapping[str, Column]) -> Column:
-    return F.coalesce(*[F.when(hit, F.lit(name)) for name, hit in cases.items()])
+    Conditions compare one number, month x 100 + day, so they stay cheap per row.
+    """
+    place = F.month(date) * 100 + F.dayofmonth(date)
+    weekday = F.weekday(date)
+
+    def since(hit: Column, first_year: int | None) -> Column:
+        return hit if first_year is None else hit & (F.year(date) >= first_year)
+
+    actual = {n: since(place == m * 100 + d, y) for n, m, d, y in FIXED_DATES}
+    for name, month, day, first, last in WEEKDAY_DATES:
+        actual[name] = place.between(month * 100 + first, month * 100 + last) & (weekday == day)
+    observed = {}
+    for name, month, day, first_year in FIXED_DATES:
+        before, after = (
+            dt.date(2001, month, day) + dt.timedelta(days=shift) for shift in (-1, 1)
+        )
+        friday = (place == before.month * 100 + before.day) & (weekday == 4)
+        monday = (place == after.month * 100 + after.day) & (weekday == 0)
+        observed[f"{name} (observed)"] = since(friday | monday, first_year)
+    return {**actual, **observed}
 
 
 def holiday_name(date: Column) -> Column:
@@ -108,24 +125,11 @@ def holiday_name(date: Column) -> Column:
     A fixed-date holiday that falls on a weekend is also observed on the nearest weekday,
     under its name with " (observed)" added.
     """
-    actual = {n: _on_fixed_date(date, m, d, y) for n, m, d, y in FIXED_DATES}
-    for name, month, weekday, first, last in WEEKDAY_DATES:
-        actual[name] = (
-            (F.month(date) == month)
-            & (F.weekday(date) == weekday)
-            & F.dayofmonth(date).between(first, last)
-        )
-    tomorrow, yesterday = F.date_add(date, 1), F.date_sub(date, 1)
-    observed = {
-        f"{n} (observed)": ((F.weekday(date) == 4) & _on_fixed_date(tomorrow, m, d, y))
-        | ((F.weekday(date) == 0) & _on_fixed_date(yesterday, m, d, y))
-        for n, m, d, y in FIXED_DATES
-    }
-    return _first_match({**actual, **observed})
+    return F.coalesce(*[F.when(hit, F.lit(name)) for name, hit in _holidays(date).items()])
 
 
 def is_holiday(date: Column) -> Column:
-    return holiday_name(date).isNotNull()
+    return reduce(lambda x, y: x | y, _holidays(date).values())
 
 
 def is_day_after_holiday(date: Column) -> Column:

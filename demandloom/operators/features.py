@@ -387,10 +387,12 @@ def all_features(
     scope: str = "group",
 ) -> DataFrame:
     """The training features of a panel at (keys, date) grain, with nulls filled."""
+    # Calendar columns come before the windows: in one projection with the fills they would
+    # make a generated method too large for the JIT compiler.
+    dated = df.withColumns({**calendar.date_parts(F.col(date)), **calendar.cyclical(F.col(date))})
     out = with_series_columns(
-        df, target, config.lags, config.windows, config.stats, whole_series(keys, date)
+        dated, target, config.lags, config.windows, config.stats, whole_series(keys, date)
     )
-    out = out.withColumns({**calendar.date_parts(F.col(date)), **calendar.cyclical(F.col(date))})
     if len(categorical) > 1:
         out = interaction_features(out, categorical)
     kinds = ("int", "bigint", "double", "float", "smallint", "tinyint")

@@ -12,6 +12,16 @@ from demandloom.config import CvConfig, HorizonConfig, SplitConfig
 from demandloom.plans.tables import per_group, whole_series
 
 
+def _by_day(df: DataFrame, days: DataFrame, date: str, how: str = "inner") -> DataFrame:
+    """Attach a table with one row per day.
+
+    For a date column that table is bounded by the calendar (a century has 36,525 days), so it
+    is broadcast and the rows stay where they are. A timestamp has no such bound.
+    """
+    small = F.broadcast(days) if dict(df.dtypes)[date] == "date" else days
+    return per_group(df, small, [date], how)
+
+
 def _running_days(df: DataFrame, date: str) -> DataFrame:
     """Rows per date, rows before it and rows in all: one row per calendar day."""
     days = df.groupBy(date).agg(F.count(F.lit(1)).alias("__n"))
@@ -48,7 +58,7 @@ def _segments(
     if not whole_days:
         border = days.where(reduce(lambda x, y: x | y, [crossed(m) for m in marks]))
         inside = F.row_number().over(Window.partitionBy(date).orderBy(*keys)) - 1
-        ranked = per_group(df.select(date, *keys), border, [date], "inner").withColumn(
+        ranked = _by_day(df.select(date, *keys), border, date).withColumn(
             "__position", F.col("__before") + inside
         )
 
@@ -57,8 +67,8 @@ def _segments(
             return F.max(F.when(hit, F.struct(*keys)))
 
         edges = ranked.groupBy(date).agg(*[key_at(m).alias(e) for m, e in marks.items()])
-        days = per_group(days, edges, [date])
-    placed = per_group(df, days, [date], "inner")
+        days = _by_day(days, edges, date, "left")
+    placed = _by_day(df, days, date)
 
     def reached(mark: str, edge: str) -> Column:
         day = F.col("__before") >= F.col(mark)
@@ -107,7 +117,7 @@ def panel_positions(
     days = _running_days(df, date)
     if start is not None:
         days = days.where(F.col("__before") + F.col("__n") > start)
-    placed = per_group(df, days, [date], "inner")
+    placed = _by_day(df, days, date)
     inside = F.row_number().over(Window.partitionBy(date).orderBy(*keys)) - 1
     out = placed.withColumn("position", F.col("__before") + inside).select(*df.columns, "position")
     return out if start is None else out.where(F.col("position") >= start)
