@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.plans.tables import scalar_stats
+from demandloom.plans.tables import global_index, scalar_stats
 
 
 def label_codes(train: DataFrame, column: str) -> DataFrame:
@@ -17,9 +17,7 @@ def label_codes(train: DataFrame, column: str) -> DataFrame:
         .where(F.col(column).isNotNull())
         .distinct()
     )
-    return labels.select(
-        column, (F.row_number().over(Window.orderBy(column)) - 1).cast("int").alias("code")
-    )
+    return global_index(labels, [column], "code").withColumn("code", F.col("code").cast("int"))
 
 
 def encode_labels(

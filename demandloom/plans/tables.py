@@ -45,11 +45,19 @@ def per_group(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder of the session."""
+    """Cut the lineage with a reliable checkpoint in the shared folder of the session.
+
+    The folder is ``spark.checkpoint.dir``. Only a local session may do without it: a temporary
+    folder of one machine would not survive the loss of an executor.
+    """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("Set spark.checkpoint.dir to a shared folder")
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 
@@ -136,3 +144,20 @@ def range_slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
             F.monotonically_increasing_id().alias("__rank"),
         )
     )
+
+
+def global_index(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:
+    """0-based place of every row in the order of the whole table.
+
+    Rows are numbered inside range slices; the slices' offsets come from one row per slice.
+    """
+    sliced = range_slices(df, order)
+    sizes = sliced.groupBy("__slice").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "__slice", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset")
+    )
+    inside = F.row_number().over(Window.partitionBy("__slice").orderBy("__rank")) - 1
+    numbered = sliced.withColumn("__inside", inside).join(offsets, "__slice")
+    place = (F.col("__offset") + F.col("__inside")).cast("long")
+    return numbered.withColumn(name, place).select(*df.columns, name)

@@ -91,3 +91,20 @@ def test_unseen_labels(spark):
     with pytest.raises(Exception, match="unseen label"):
         prep.encode_labels(fresh, codes, "k").collect()
     assert sorted(r["k"] for r in prep.encode_labels(train, codes, "k").collect()) == [0, 1]
+
+
+def test_global_index_over_many_slices(spark):
+    from demandloom.plans.tables import global_index
+
+    df = spark.range(5000).select(((F.col("id") * 7919) % 5003).alias("k"))
+    rows = global_index(df.repartition(6), ["k"]).orderBy("k").collect()
+    assert [r["index"] for r in rows] == list(range(5000))
+
+
+def test_checkpoint_folder_is_the_session_setting(spark):
+    from demandloom.plans.tables import durable
+
+    assert durable(spark.range(3)).count() == 3
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    used = spark.sparkContext.getCheckpointDir()
+    assert used is not None and (configured is None or configured.rstrip("/") in used)
