@@ -48,7 +48,7 @@ def _erlang_sql(formula: str) -> str:
     return f"""
 loads AS (SELECT *, volume * average_handle_time / 3600.0::DOUBLE AS workload FROM demand),
 tried AS (SELECT *, unnest(range(greatest(1, CAST(ceil(workload) AS BIGINT) + 1),
-                                 CAST(ceil(workload) AS BIGINT) + 200)) AS n FROM loads),
+                                 CAST(ceil(workload / 0.8) AS BIGINT) + 200)) AS n FROM loads),
 chances AS (SELECT *, list_reduce(list_concat([1.0::DOUBLE],
               [x::DOUBLE FOR x IN range(1, n + 1)]),
               lambda acc, k: 1 + acc * k / workload) AS inverse FROM tried),
@@ -181,7 +181,13 @@ def sales_staffing(spark, folder):
     return staffing.staffing_plan(rows, daily)
 
 
-@query("channel_staffing_large", "o_orderpriority:s volume:i workload:6 productive_agents:0 required_agents:0")
+@query("channel_staffing_large",
+       "o_orderpriority:s volume:i workload:4 productive_agents:0 required_agents:0",
+       f"""demand AS (SELECT TIMESTAMP '2024-01-01' AS timestamp, o_orderpriority AS channel,
+                             count(*) AS volume, 300.0::DOUBLE AS average_handle_time
+                      FROM orders GROUP BY 2), {_erlang_sql('blocking')} =>
+       SELECT channel AS o_orderpriority, volume, workload, productive_agents, required_agents
+       FROM plan""")
 def channel_staffing_large(spark, folder):
     rows = table(spark, folder, "orders").groupBy("o_orderpriority").agg(
         F.count("*").alias("volume"), F.lit(300.0).alias("average_handle_time")

@@ -396,7 +396,42 @@ def sampled_rows(spark, folder):
     return scoring.deterministic_sample(orders, 1000, ["o_orderkey"])
 
 
-@query("validation_report", "section:s subject:s measure:s value:4")
+def _measures(section: str, subject: str, source: str, names) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, {subject} AS subject, '{n}' AS measure,"
+        f" CAST({n} AS DOUBLE) AS value FROM {source}"
+        for n in names
+    )
+
+
+@query("validation_report", "section:s subject:s measure:s value:3",
+       f"""{PANEL}, long AS ({_long(["sales", "quantity_sold"], "panel")}), {OUTLIERS_SQL},
+       counts AS ({" UNION ALL ".join(
+           f"SELECT '{c}' AS col, count(*) - count({c}) AS null_count,"
+           f" count(DISTINCT {c}) AS unique_values FROM panel"
+           for c in ("date", "store_id", "sales", "quantity_sold"))}),
+       moments AS (SELECT col, avg(v) AS mean, stddev_samp(v) AS std, min(v) AS min, max(v) AS max
+                   FROM long GROUP BY col),
+       profile AS (SELECT *, n_outliers AS outliers FROM counts LEFT JOIN moments USING (col)
+                   LEFT JOIN outliers USING (col)),
+       high AS (SELECT count(*) FILTER (WHERE sales > 1000000) AS violations, max(sales) AS extreme
+                FROM panel HAVING violations > 0),
+       copies AS (SELECT sum(n) AS n_rows, sum(n - 1) AS duplicate_rows
+                  FROM (SELECT count(*) AS n FROM panel
+                        GROUP BY date, store_id, sales, quantity_sold)),
+       span AS (SELECT max(date) - min(date) AS days FROM panel),
+       steps AS (SELECT store_id, date - lag(date) OVER (PARTITION BY store_id ORDER BY date) AS gap
+                 FROM panel),
+       gaps AS (SELECT store_id, count(*) AS gap_count, max(gap) AS max_gap_days FROM steps
+                WHERE gap > 1 GROUP BY 1),
+       report AS (
+         {_measures("profile", "col", "profile",
+                    ("null_count", "unique_values", "mean", "std", "min", "max", "outliers"))}
+         UNION ALL {_measures("range", "'sales:maximum'", "high", ("violations", "extreme"))}
+         UNION ALL {_measures("duplicates", "'table'", "copies", ("n_rows", "duplicate_rows"))}
+         UNION ALL {_measures("dates", "'date'", "span", ("days",))}
+         UNION ALL {_measures("gaps", "store_id", "gaps", ("gap_count", "max_gap_days"))}) =>
+       SELECT * FROM report WHERE value IS NOT NULL""")
 def validation_report(spark, folder):
     contract = TableContract(required=("date", "store_id"), types={"sales": "double"},
                              ranges={"sales": (0.0, 1_000_000.0)})
