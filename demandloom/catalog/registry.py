@@ -18,8 +18,8 @@ ORACLES: dict[str, str] = {}
 
 
 def _rounded(column: Column, digits: int) -> Column:
-    value = F.round(column.cast("double") * float(10**digits)) / float(10**digits)
-    return F.when(value == 0, 0.0).otherwise(value)
+    # Adding 0.0 turns a negative zero into a plain one.
+    return F.round(column.cast("double") * float(10**digits)) / float(10**digits) + F.lit(0.0)
 
 
 def _present(word: str) -> Column:

@@ -25,7 +25,7 @@ from demandloom.plans.tables import (
 DEFAULTS = FeatureConfig()
 
 
-# Fixed names: statistics by the aggregate that computes them; the median is taken from a list.
+# Statistics by the aggregate that computes them; the median is taken from a list.
 AGGREGATES = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
 
 
