@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from demandloom.config import CvConfig, SplitConfig
+from demandloom.config import CvConfig
 from demandloom.operators import prep, split
 
 DAY = dt.date(2024, 1, 1)
