@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from demandloom.llm import (
     exact_dedup,
+    jaccard_join,
     language,
     line_dedup,
     lm_score,
@@ -23,6 +24,7 @@ QUERIES = {
     "op6_quality_rules": quality_rules.query,
     "op7_line_dedup": line_dedup.query,
     "op8_token_blocks": token_blocks.query,
+    "op9_jaccard_join": jaccard_join.query,
     "op10_source_mixing": mixing.query,
 }
 

@@ -12,11 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm.store import SPACE, new_path, written
-
-#: A text with more than this share of a batch is looked up by broadcast; at most 1/share texts are.
-HOT_SHARE = 1 / 512
-
+from demandloom.llm.store import SPACE, new_path, split_lookup, written
 
 def text_digest(text):
     """SHA-256 of the text with white space collapsed, as 32 bytes; null counts as empty."""
@@ -82,15 +78,10 @@ class DigestIndex:
             .join(index, "digest")
             .select("digest", "keep_id", sized.alias("group_size"), "copies", "batch")
         )
-        # Texts with a large share of the batch: their number is bounded by 1 / HOT_SHARE.
-        total = digests.count()
         resolved = written(resolved, "resolved-digests")
-        hot = F.broadcast(resolved.where(F.col("copies") > total * HOT_SHARE))
-        rare = resolved.where(F.col("copies") <= total * HOT_SHARE)
-        many = digests.join(hot, "digest")
-        few = digests.join(F.broadcast(hot.select("digest")), "digest", "left_anti").join(rare, "digest")
+        met = split_lookup(digests, resolved, "digest", "copies", "inner")
         kept = (F.col("batch") == batch) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
-        return many.unionByName(few).select(
+        return met.select(
             "doc_id", "keep_id", "group_size", kept.alias("kept"), "digest"
         )
 

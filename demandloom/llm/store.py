@@ -61,15 +61,20 @@ def lookup(
     return rows.withColumn("__salt", salt).join(dealt, [key, "__salt"], "left").drop("__salt")
 
 
-def code_point_order(column: Column) -> list[Column]:
-    """Order of text by code point with null last."""
-    return [column.isNull(), column]
+#: Keys with more than this share of all rows are hot; there are at most 1/share of them.
+HOT_SHARE = 1 / 512
 
 
-def keep_whole_row(docs: DataFrame, **more: Column) -> DataFrame:
-    """All columns in one struct ``row``, beside new ones, so that no name can clash."""
-    return docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in more.items()])
+def split_lookup(rows: DataFrame, table: DataFrame, key: str, weight: str, how: str) -> DataFrame:
+    """``rows`` with the columns of ``table`` for their key, ``inner`` or ``left``.
 
-
-def chosen(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(f"`{n}`") for n in names])
+    ``key`` is unique in ``table``, whose column ``weight`` has how many of the ``rows`` it meets.
+    Hot keys, whose number the share bounds, are broadcast; the rest is shuffled. Both are read
+    twice, so they should be written tables or cheap.
+    """
+    total = table.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("n")).first()["n"]
+    hot = F.broadcast(table.where(F.col(weight) > total * HOT_SHARE))
+    rare = table.where(F.col(weight) <= total * HOT_SHARE)
+    many = rows.join(hot, key)
+    few = rows.join(hot.select(key), key, "left_anti").join(rare, key, how)
+    return many.unionByName(few)
