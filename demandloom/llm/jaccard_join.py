@@ -112,10 +112,22 @@ def signatures(one: np.ndarray, df: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(found))
 
 
+#: Words of the bitmap of a set's tokens, 64 bits each.
+BITMAP = 16
+
+
+def bitmap(one: np.ndarray) -> np.ndarray:
+    """A bit for each token's place: tokens with a bit that another set lacks are not in it."""
+    out = np.zeros(BITMAP, _U64)
+    place = one >> _U64(54)
+    np.bitwise_or.at(out, (place >> _U64(6)).astype(np.int64), _U64(1) << (place & _U64(63)))
+    return out.view(np.int64)
+
+
 def signed(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, n, sigs, tokens`` for each node that has a signature some other node might have.
+    """``node, n, common, bits, sigs, tokens`` for each node that has a signature another might have.
 
-    ``nodes`` are ``doc_id, digest`` of one document per distinct set. Frequencies are counted over
+    ``common`` counts the tokens that are in other nodes too. ``nodes`` are ``doc_id, digest`` of one document per distinct set. Frequencies are counted over
     the nodes' sets.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -154,21 +166,26 @@ def signed(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def sign(table: pa.Table, notes: pa.Table) -> pa.Table:
         sets = own_sets(table, notes)
-        names, sizes, sigs, kept = [], [], [], []
+        names, sizes, common, bits, sigs, kept = [], [], [], [], [], []
         if sets:
             keys = np.unique(np.concatenate(list(sets.values())))
             df = kc.answered(notes.filter(pc.greater_equal(notes.column("part"), 0)))
             for name, one in sets.items():
-                own = signatures(one, df[np.searchsorted(keys, one)].astype(np.int64))
+                times = df[np.searchsorted(keys, one)].astype(np.int64)
+                own = signatures(one, times)
                 if len(own):
                     names.append(name)
                     sizes.append(len(one))
+                    common.append(int((times > 1).sum()))
+                    bits.append(bitmap(one))
                     sigs.append(own.view(np.int64))
                     kept.append(one.tobytes())
         return pa.table(
             {
                 "node": pa.array(names, pa.int64()),
                 "n": pa.array(sizes, pa.int64()),
+                "common": pa.array(common, pa.int64()),
+                "bits": pa.array(bits, pa.list_(pa.int64())),
                 "sigs": pa.array(sigs, pa.list_(pa.int64())),
                 "tokens": pa.array(kept, pa.binary()),
             }
@@ -180,15 +197,21 @@ def signed(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     told = notes.unionByName(found).groupBy("block")
     return written(
         dealt.groupBy("block").cogroup(told).applyInArrow(
-            sign, "node long, n long, sigs array<long>, tokens binary"
+            sign, "node long, n long, common long, bits array<long>, sigs array<long>, tokens binary"
         ),
         "signed-sets",
     )
 
 
-def may_link(a: Column, b: Column) -> Column:
-    """Sizes that allow a Jaccard of PERCENT or more."""
-    return (100 * F.least(a, b)) >= (PERCENT * F.greatest(a, b))
+def may_link(n: Column, common: Column, other_n: Column, other_common: Column) -> Column:
+    """True if an overlap of all tokens that others have would be enough; sizes are bounded by it."""
+    return (100 + PERCENT) * F.least(common, other_common) >= PERCENT * (n + other_n)
+
+
+def bits_allow(n: Column, bits: Column, other_n: Column, other_bits: Column) -> Column:
+    """True unless the bits that differ leave too small an overlap: each stands for a token not shared."""
+    apart = sum((F.bit_count(bits[i].bitwiseXOR(other_bits[i])) for i in range(BITMAP)), F.lit(0))
+    return (100 + PERCENT) * (n + other_n - apart) >= 2 * PERCENT * (n + other_n)
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -251,22 +274,24 @@ def components(links: DataFrame) -> DataFrame:
 def linked(sets: DataFrame) -> DataFrame:
     """``node, component`` of all nodes that link, from ``node, n, sigs, tokens``.
 
-    A signature's nodes are not all paired. In each round some of them, by rank, are compared with
+    A signature's nodes are not all paired; those with most common tokens lead. In each round some of them, by rank, are compared with
     those after them that are not yet in the same component; numbers of such leaders grow by
     rounds. A signature is done when its nodes are in one component or all have led. So a group of
     near copies costs its size, and no pair that could join two components is left out.
     """
-    posts = sets.select("node", "n", F.explode("sigs").alias("sig"))
-    shared = posts.groupBy("sig").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("lead"))
+    posts = sets.select("node", "n", "common", F.explode("sigs").alias("sig"))
+    shared = posts.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("members"), F.min(F.struct(-F.col("common"), "node"))["node"].alias("lead")
+    )
     shared = written(shared.where("members > 1"), "shared-signatures")
     posts = written(split_lookup(posts, shared, "sig", "members", "inner"), "postings")
-    sizes = sets.select(F.col("node").alias("lead"), F.col("n").alias("lead_n"))
+    leads = sets.select(F.col("node").alias("lead"), F.col("n").alias("an"), F.col("common").alias("as"))
     pairs = (
         posts.where("node <> lead")
-        .select(F.col("lead"), F.col("node").alias("b"), "n")
+        .select("lead", F.col("node").alias("b"), "n", "common")
         .distinct()
-        .join(sizes, "lead")
-        .where(may_link(F.col("n"), F.col("lead_n")))
+        .join(leads, "lead")
+        .where(may_link(F.col("n"), F.col("common"), F.col("an"), F.col("as")))
         .select(F.col("lead").alias("a"), "b")
     )
     links = written(verified(pairs, sets), "verified")
@@ -276,27 +301,30 @@ def linked(sets: DataFrame) -> DataFrame:
         known = (
             posts.where(F.col("members") > led + 1)
             .join(labels, "node", "left")
-            .select("sig", "node", "n", "members", F.coalesce("component", "node").alias("component"))
+            .select("sig", "node", "n", "common", F.coalesce("component", "node").alias("component"))
         )
         mixed = known.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         open_ = written(mixed.where("low <> high").select("sig"), "open-signatures")
         if not open_.limit(1).count():
             return labels
-        left = known.join(open_, "sig", "left_semi")
+        left = known.join(open_, "sig", "left_semi").join(sets.select("node", "bits"), "node")
         ranks = written(
-            left.withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy("node"))), "ranked"
+            left.withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy(-F.col("common"), "node"))), "ranked"
         )
         leaders = ranks.where(F.col("rank").between(led + 1, led + step)).select(
             "sig",
             F.col("node").alias("a"),
             F.col("n").alias("an"),
+            F.col("common").alias("as"),
+            F.col("bits").alias("ab"),
             F.col("component").alias("ac"),
             F.col("rank").alias("ar"),
         )
         pairs = (
             ranks.join(leaders, "sig")
             .where((F.col("rank") > F.col("ar")) & (F.col("component") != F.col("ac")))
-            .where(may_link(F.col("n"), F.col("an")))
+            .where(may_link(F.col("n"), F.col("common"), F.col("an"), F.col("as")))
+            .where(bits_allow(F.col("n"), F.col("bits"), F.col("an"), F.col("ab")))
             .select("a", F.col("node").alias("b"))
             .distinct()
         )
