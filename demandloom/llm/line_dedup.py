@@ -16,10 +16,11 @@ from demandloom.llm.store import lookup, written
 def boilerplate(pages: DataFrame, ratio: float, least: int) -> DataFrame:
     """``host (a struct), dropped`` (hashes): lines on more than ``ratio`` of a host's pages.
 
-    ``pages`` has ``host`` and ``lines``. A page counts a line once. A line must also be on
-    ``least`` pages, so that small hosts do not lose every line they have.
+    ``pages`` has ``host`` and ``lines``. A page counts a line once; blank lines are none. A line
+    must also be on ``least`` pages, so that small hosts do not lose every line they have.
     """
-    lines = pages.select("host", F.explode(F.array_distinct(F.transform("lines", _key))).alias("line"))
+    shown = F.filter("lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    lines = pages.select("host", F.explode(F.array_distinct(F.transform(shown, _key))).alias("line"))
     counts = lines.groupBy("host", "line").count().where(F.col("count") >= least)
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     return (
