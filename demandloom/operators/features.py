@@ -211,44 +211,70 @@ def ewm_features(
     spans: Sequence[int] = DEFAULTS.ewm_spans,
     block: int | None = None,
 ) -> DataFrame:
-    """Exponentially weighted mean per series, ``y[t] = a x[t] + (1 - a) y[t-1]``, ``y[0] = x[0]``.
+    """Exponentially weighted mean per series, ``y[t] = (1 - w) y[t-1] + w x[t]``, ``y`` starting at the first value.
 
-    The recurrence is solved in closed form inside blocks of rows, as a running sum of
-    ``x / (1 - a)^i``, and the block ends are chained by the same recurrence over the few blocks
-    of a series. Every step keeps the partitioning by series. The target must have no nulls.
+    ``w`` is ``a = 2 / (span + 1)`` after a value in the row before. After ``g - 1`` nulls the past has
+    decayed ``g`` times: ``w = a / ((1 - a)^g + a)``. A null repeats the mean so far; before the first
+    value there is none. The recurrence is solved in closed form inside blocks of rows, as a running sum
+    of ``w x`` over the running product of ``1 - w``, and the block ends are chained by the same
+    recurrence over the few blocks of a series. Every step keeps the partitioning by series.
     """
     if min(spans) < 2:
         raise ValueError("spans must be >= 2")
     names = {s: f"{target}_ewm_{s}" for s in spans}
     decay = {s: 1.0 - 2.0 / (s + 1.0) for s in spans}
     # Long blocks keep the chain short, but the fastest decay must not overflow inside one.
-    block = block or int(600.0 / max(-math.log(d) for d in decay.values()))
+    block = block or int(300.0 / max(-math.log(d) for d in decay.values()))
     series = whole_series(keys, date)
     placed = df.withColumn("__t", F.row_number().over(series) - 1)
     placed = placed.withColumn("__block", F.floor(F.col("__t") / block))
-    placed = placed.withColumn("__i", (F.col("__t") % block).cast("double"))
-    inside = Window.partitionBy(*keys, "__block").orderBy("__i")
+    inside = Window.partitionBy(*keys, "__block").orderBy("__t")
     running = inside.rowsBetween(Window.unboundedPreceding, 0)
     earlier = series.rowsBetween(Window.unboundedPreceding, -1)
+    present = F.col(target).isNotNull()
+    last = F.max(F.when(present, F.col("__t"))).over(earlier)
+    placed = placed.withColumn("__gap", F.when(present, F.col("__t") - last))
 
-    def local(d: float) -> Column:
-        weight = F.when(F.col("__t") == 0, F.lit(1.0)).otherwise(F.lit(1.0 - d))
-        scaled = weight * F.col(target) * F.pow(F.lit(d), -F.col("__i"))
-        return F.sum(scaled).over(running) * F.pow(F.lit(d), F.col("__i"))
+    def kept(d: float) -> Column:
+        # Share of the past that stays; 1 where nothing is added or nothing was before.
+        past = F.pow(F.lit(d), F.col("__gap"))
+        return F.coalesce(past / (past + F.lit(1.0 - d)), F.lit(1.0))
+
+    def gained(s: int) -> Column:
+        share = F.when(F.col("__gap").isNull(), F.lit(1.0)).otherwise(1.0 - F.col(f"__kept_{s}"))
+        return F.coalesce(share * F.col(target), F.lit(0.0))
+
+    def ends(s: int) -> Column:
+        last_row = F.col("__t") % block == block - 1
+        return F.collect_list(F.when(last_row, F.struct(f"__local_{s}", f"__product_{s}")))
 
     def carry(s: int) -> Column:
-        ends = F.collect_list(F.when(F.col("__i") == block - 1, F.col(f"__local_{s}")))
         return F.aggregate(
-            ends.over(earlier), F.lit(0.0), lambda acc, end: acc * decay[s] ** block + end
+            ends(s).over(earlier),
+            F.lit(0.0),
+            lambda acc, end: acc * F.exp(end[f"__product_{s}"]) + end[f"__local_{s}"],
         )
 
-    out = placed.withColumns({f"__local_{s}": local(d) for s, d in decay.items()})
+    out = placed.withColumns({f"__kept_{s}": kept(d) for s, d in decay.items()})
+    # A product this small forgets the past altogether; the bound keeps its inverse finite.
+    logs = {s: F.log(F.greatest(F.col(f"__kept_{s}"), F.lit(1e-130))) for s in spans}
+    out = out.withColumns({f"__product_{s}": F.sum(logs[s]).over(running) for s in spans})
+    out = out.withColumns(
+        {
+            f"__local_{s}": F.sum(gained(s) * F.exp(-F.col(f"__product_{s}"))).over(running)
+            * F.exp(F.col(f"__product_{s}"))
+            for s in spans
+        }
+    )
     out = out.withColumns({f"__carry_{s}": carry(s) for s in spans})
+    out = out.withColumn("__any", F.count(target).over(series))
     out = out.withColumns(
         {
-            names[s]: F.col(f"__local_{s}")
-            + F.col(f"__carry_{s}") * F.pow(F.lit(d), F.col("__i") + 1)
-            for s, d in decay.items()
+            names[s]: F.when(
+                F.col("__any") > 0,
+                F.col(f"__local_{s}") + F.col(f"__carry_{s}") * F.exp(F.col(f"__product_{s}")),
+            )
+            for s in spans
         }
     )
     return out.select(*df.columns, *names.values())

@@ -8,7 +8,7 @@ from typing import Any
 
 import numpy as np
 from pyspark.ml import PipelineModel, Pipeline
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,17 +42,26 @@ def boosted_trees(
 ) -> PipelineModel:
     """Gradient-boosted regression trees; boosting stops once the validation error stalls.
 
-    Rows with a null feature are skipped.
+    Null features take the mean of the fitted rows, in scoring too, so every row gets a prediction.
     """
     learner = GBTRegressor(featuresCol="__x", labelCol=target, seed=seed, **dict(params))
     if validation is not None:
         learner = learner.setValidationIndicatorCol(validation)
-    assembler = VectorAssembler(inputCols=list(features), outputCol="__x", handleInvalid="skip")
-    return Pipeline(stages=[assembler, learner]).fit(rows)
+    return Pipeline(stages=[*_assembled(features), learner]).fit(rows)
+
+
+def _assembled(features: Sequence[str]) -> list:
+    """Stages from feature columns, nulls filled with means of the fitted rows, to one vector."""
+    filled = [f"__filled_{f}" for f in features]
+    return [
+        Imputer(inputCols=list(features), outputCols=filled),
+        VectorAssembler(inputCols=filled, outputCol="__x", handleInvalid="error"),
+    ]
 
 
 def predict(model: PipelineModel, rows: DataFrame, name: str = "prediction") -> DataFrame:
-    scored = model.transform(rows).drop("__x")
+    scored = model.transform(rows)
+    scored = scored.drop("__x", *[c for c in scored.columns if c.startswith("__filled_")])
     return scored if name == "prediction" else scored.withColumnRenamed("prediction", name)
 
 
@@ -123,10 +132,9 @@ def select_features(
     seed: int = 42,
 ) -> DataFrame:
     """Features whose random-forest importance reaches the threshold."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="__x", handleInvalid="skip")
     forest = RandomForestRegressor(
         featuresCol="__x", labelCol=target, numTrees=trees, maxDepth=depth, seed=seed
     )
-    model = Pipeline(stages=[assembler, forest]).fit(rows)
+    model = Pipeline(stages=[*_assembled(features), forest]).fit(rows)
     ranked = importances(model, features, rows, "random_forest")
     return ranked.where(F.col("importance") >= threshold).select("feature", "importance")

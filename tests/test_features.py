@@ -140,3 +140,21 @@ def test_interaction_null(spark):
     df = spark.createDataFrame([("a", None), ("b", "c")], "x string, y string")
     got = [r[0] for r in features.interaction_features(df, ["x", "y"]).select("x_y_interaction").collect()]
     assert got == [None, "b_c"]
+
+
+def test_ewm_follows_pandas_over_nulls(spark):
+    draw = np.random.default_rng(1)
+    parts = []
+    for k, holes in enumerate((0.0, 0.1, 0.9, 1.0)):
+        values = draw.normal(10, 3, 700)
+        values[draw.random(700) < holes] = np.nan
+        if k == 1:
+            values[200:500] = np.nan
+        days = pd.date_range("2020-01-01", periods=700)
+        parts.append(pd.DataFrame({"store_id": str(k), "date": days, "sales": values}))
+    frame = pd.concat(parts)
+    rows = spark.createDataFrame(frame).withColumn("sales", F.nanvl("sales", F.lit(None).cast("double")))
+    got = features.ewm_features(rows, spans=(7, 14)).toPandas().sort_values(["store_id", "date"])
+    for span in (7, 14):
+        smooth = frame.groupby("store_id")["sales"].transform(lambda v: v.ewm(span=span, adjust=False).mean())
+        np.testing.assert_allclose(got[f"sales_ewm_{span}"].to_numpy(float), smooth.to_numpy(), rtol=1e-9)
