@@ -159,6 +159,16 @@ def test_encoder_equals_the_library_on_whole_texts(spark, folder):
         assert ids[a:b].tolist() == whole.encode(text or "", add_special_tokens=False).ids
 
 
+def test_chunks_with_special_tokens_and_marks_encode_as_alone():
+    path = tokens.default_tokenizer()
+    chunks = ["a", "<|endoftext|>", "x<", "|>y", "<|", "e\u0301", "\u0301", "q\x1cq", "'s", "\u0130I"] * 30
+    alone = [tokens._tokenizer(path).encode(c, add_special_tokens=False).ids for c in chunks]
+    plain = [(c, ids) for c, ids in zip(chunks, alone) if "<|" not in c]
+    for some in (list(zip(chunks, alone)), plain):
+        found = tokens.encode_chunks([c for c, _ in some], path)
+        assert [list(np.frombuffer(f, np.uint32)) for f in found] == [ids for _, ids in some]
+
+
 def test_packing_places_every_piece(edge):
     pieces = packing.cut(edge, TOKENIZER, with_ids=True).collect()
     spark = edge.sparkSession
