@@ -271,8 +271,22 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` of all nodes, after more ``links``: only the components that these join are walked."""
+    side = {n: labels.select(F.col("node").alias(n), F.col("component").alias(f"c{n}")) for n in ("a", "b")}
+    between = links.join(side["a"], "a").join(side["b"], "b").where("ca <> cb")
+    joined = components(between.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    further = joined.select(F.col("node").alias("component"), F.col("component").alias("further"))
+    return written(
+        labels.join(further, "component", "left").select(
+            "node", F.coalesce("further", "component").alias("component")
+        ),
+        "components",
+    )
+
+
 def linked(sets: DataFrame) -> DataFrame:
-    """``node, component`` of all nodes that link, from ``node, n, sigs, tokens``.
+    """``node, component`` of all nodes of ``sets``: ``node, n, common, bits, sigs, tokens``.
 
     A signature's nodes are not all paired; those with most common tokens lead. In each round some of them, by rank, are compared with
     those after them that are not yet in the same component; numbers of such leaders grow by
@@ -294,14 +308,14 @@ def linked(sets: DataFrame) -> DataFrame:
         .where(may_link(F.col("n"), F.col("common"), F.col("an"), F.col("as")))
         .select(F.col("lead").alias("a"), "b")
     )
-    links = written(verified(pairs, sets), "verified")
-    labels = written(components(links), "components")
+    alone = sets.select("node", F.col("node").alias("component"))
+    labels = merged(alone, written(verified(pairs, sets), "verified"))
     led, step = 1, 8
     while True:
         known = (
             posts.where(F.col("members") > led + 1)
-            .join(labels, "node", "left")
-            .select("sig", "node", "n", "common", F.coalesce("component", "node").alias("component"))
+            .join(labels, "node")
+            .select("sig", "node", "n", "common", "component")
         )
         mixed = known.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         open_ = written(mixed.where("low <> high").select("sig"), "open-signatures")
@@ -330,8 +344,7 @@ def linked(sets: DataFrame) -> DataFrame:
         )
         more = written(verified(pairs, sets), "verified")
         if more.limit(1).count():
-            links = links.union(more)
-            labels = written(components(links), "components")
+            labels = merged(labels, more)
         led, step = led + step, step * 8
 
 
