@@ -169,25 +169,26 @@ def gap_summary(spark, folder):
     return validate.gap_summary(sales(spark, folder), ["store_id"])
 
 
-@query("calendar_missing", "date:d",
-       """days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders
-                   WHERE o_orderpriority = '1-URGENT'),
-       spine AS (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE)
-                 AS date FROM days) =>
-       SELECT date FROM spine ANTI JOIN days USING (date)""")
+@query("calendar_missing", "store_id:s date:d",
+       """days AS (SELECT DISTINCT o_orderpriority AS store_id, CAST(o_orderdate AS DATE) AS date
+                   FROM orders),
+       spine AS (SELECT store_id,
+                        CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
+                 FROM days GROUP BY store_id) =>
+       SELECT store_id, date FROM spine ANTI JOIN days USING (store_id, date)""")
 def calendar_missing(spark, folder):
-    return validate.calendar_gaps(panel(spark, folder).where("store_id = '1-URGENT'"))
+    return validate.calendar_gaps(panel(spark, folder), keys=["store_id"])
 
 
-@query("hourly_missing", "timestamp:t",
-       """hours AS (SELECT DISTINCT date_trunc('hour', ts) AS timestamp FROM events
-                    WHERE event_type = 'error'),
-       spine AS (SELECT unnest(generate_series(min(timestamp), max(timestamp), INTERVAL 1 HOUR))
-                 AS timestamp FROM hours) =>
-       SELECT timestamp FROM spine ANTI JOIN hours USING (timestamp)""")
+@query("hourly_missing", "channel:s timestamp:t",
+       """hours AS (SELECT DISTINCT event_type AS channel, date_trunc('hour', ts) AS timestamp FROM events),
+       spine AS (SELECT channel,
+                        unnest(generate_series(min(timestamp), max(timestamp), INTERVAL 1 HOUR)) AS timestamp
+                 FROM hours GROUP BY channel) =>
+       SELECT channel, timestamp FROM spine ANTI JOIN hours USING (channel, timestamp)""")
 def hourly_missing(spark, folder):
-    cube = staffing.demand_cube(contacts(spark, folder)).where("channel = 'error'")
-    return validate.calendar_gaps(cube, "timestamp", "1 hour")
+    cube = staffing.demand_cube(contacts(spark, folder))
+    return validate.calendar_gaps(cube, "timestamp", "1 hour", ["channel"])
 
 
 @query("duplicate_times", "duplicate_timestamps:i",

@@ -134,13 +134,46 @@ def _least_on_simplex(quad: np.ndarray, rounds: int = 20_000) -> np.ndarray:
     return w
 
 
+def _least_absolute(wide: DataFrame, errors: Sequence[Column], steps: int = 30) -> np.ndarray:
+    """Weights on the simplex with the least mean absolute error of the blend, by reweighting.
+
+    A step is one aggregate row: the error of the weights so far, and the second moments with rows
+    weighted by one over their error there. The best weights that were measured are returned.
+    """
+    k = len(errors)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    w, least, best, weight = np.full(k, 1.0 / k), np.inf, np.full(k, 1.0 / k), F.lit(1.0)
+    rows = wide.persist()
+    for step in range(steps):
+        error = F.abs(sum(e * float(x) for e, x in zip(errors, w)))
+        if np.isfinite(least):
+            weight = 1 / F.greatest(error, F.lit(1e-4 * least))
+        row = rows.agg(
+            F.avg(error).alias("mae"), *[F.avg(errors[i] * errors[j] * weight).alias(f"q{i}_{j}") for i, j in pairs]
+        ).first()
+        if not row["mae"]:  # no rows, or no error left
+            best = w
+            break
+        if row["mae"] < least:
+            least, best = row["mae"], w
+        quad = np.zeros((k, k))
+        for i, j in pairs:
+            quad[i, j] = quad[j, i] = row[f"q{i}_{j}"]
+        moved = _least_on_simplex(quad)
+        if step and np.abs(moved - w).max() < 1e-6:
+            break
+        w = moved
+    rows.unpersist()
+    return best
+
+
 def blend_weights(
     scored: DataFrame, keys: Sequence[str], members: Sequence[str], metric: str = "rmse"
 ) -> DataFrame:
     """Weights in [0, 1] with sum 1 that minimise the error of the blend: ``model, weight``.
 
-    RMSE (and R2, which has the same optimum) needs the second moments only. MAE is evaluated
-    on a grid of weights, refined once, each grid in one aggregation.
+    RMSE (and R2, which has the same optimum) needs the second moments only. MAE takes them
+    again with rows weighted by one over their error, a few aggregations for any number of members.
     """
     wide = member_columns(scored, keys, members)
     k = len(members)
@@ -149,19 +182,7 @@ def blend_weights(
         cov, means, _, _ = _gram(wide, [F.col(m) - F.col("actual") for m in members])
         w = _least_on_simplex((cov + np.outer(means, means))[:k, :k])
     elif metric == "mae":
-        w, reach = np.full(k, 1.0 / k), 1.0
-        for _ in range(3):
-            ticks = np.linspace(-reach, reach, 11 if k <= 3 else 5)
-            grid = {tuple(np.round(_simplex(w + np.array(d)), 6)) for d in itertools.product(ticks, repeat=k)}
-            points = sorted(grid)
-            losses = wide.agg(
-                *[
-                    F.avg(F.abs(sum(F.col(m) * x for m, x in zip(members, p)) - F.col("actual")))
-                    for p in points
-                ]
-            ).first()
-            w = np.array(points[int(np.argmin(losses))])
-            reach /= 5
+        w = _least_absolute(wide, [F.col(m) - F.col("actual") for m in members])
     else:
         raise ValueError("metric must be 'rmse', 'r2' or 'mae'")
     rows = [(m, float(x)) for m, x in zip(members, w / w.sum())]

@@ -114,7 +114,6 @@ def error_histogram(
     """Equal-width histogram per group: ``bin, left, right, n, density``.
 
     The bins of a group span its own minimum to maximum; the maximum falls in the last bin.
-    ``by`` must have few groups (models, splits).
     """
     data = df.select(*by, value.cast("double").alias("__v")).where(finite(F.col("__v")))
     ends = data.groupBy(*by).agg(
@@ -126,8 +125,7 @@ def error_histogram(
             "__b": F.when(F.col("__a") == F.col("__b"), F.col("__b") + 0.5).otherwise(F.col("__b")),
         }
     )
-    # One row per group: models or splits, bounded by the run's settings.
-    tagged = data.join(F.broadcast(ends), list(by))
+    tagged = data.join(ends, list(by))
     width = (F.col("__b") - F.col("__a")) / bins
     place = F.floor((F.col("__v") - F.col("__a")) / width)
     counted = (

@@ -105,11 +105,10 @@ def exact_quantiles(
         at(low).alias("__low"), at(high).alias("__high"), F.max("__rank").alias("__rank")
     )
     fraction = F.col("__rank") - F.floor("__rank")
-    return picked.select(
-        *keys,
-        "share",
-        (F.col("__low") + (F.col("__high") - F.col("__low")) * fraction).alias("quantile"),
-    )
+    missed = F.raise_error(F.lit("A rank lies outside the bracket of its sketch")).cast("double")
+    found = F.col("__low").isNotNull() & F.col("__high").isNotNull()
+    between = F.col("__low") + (F.col("__high") - F.col("__low")) * fraction
+    return picked.select(*keys, "share", F.when(found, between).otherwise(missed).alias("quantile"))
 
 
 def quartile_bounds(

@@ -220,12 +220,15 @@ def gap_summary(df: DataFrame, keys: Sequence[str], date: str = "date") -> DataF
     )
 
 
-def calendar_gaps(df: DataFrame, time: str = "date", step: str = "1 day") -> DataFrame:
-    """Expected times between the first and the last observation that never occur."""
-    seen = df.select(time).where(F.col(time).isNotNull()).distinct()
-    ends = seen.agg(F.min(time).alias("a"), F.max(time).alias("b"))
-    spine = ends.select(F.explode(F.sequence("a", "b", F.expr(f"interval {step}"))).alias(time))
-    return spine.join(seen, time, "left_anti")
+def calendar_gaps(
+    df: DataFrame, time: str = "date", step: str = "1 day", keys: Sequence[str] = ()
+) -> DataFrame:
+    """Expected times of each ``keys`` between its first and last observation that never occur."""
+    seen = df.select(*keys, time).where(F.col(time).isNotNull()).distinct()
+    ends = seen.groupBy(*keys).agg(F.min(time).alias("__a"), F.max(time).alias("__b"))
+    steps = F.sequence("__a", "__b", F.expr(f"interval {step}"))
+    spine = ends.select(*keys, F.explode(steps).alias(time))
+    return spine.join(seen, [*keys, time], "left_anti")
 
 
 def duplicate_times(df: DataFrame, time: str = "date", entity: Sequence[str] = ()) -> DataFrame:
