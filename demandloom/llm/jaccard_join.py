@@ -288,10 +288,12 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 def linked(sets: DataFrame) -> DataFrame:
     """``node, component`` of all nodes of ``sets``: ``node, n, common, bits, sigs, tokens``.
 
-    A signature's nodes are not all paired; those with most common tokens lead. In each round some of them, by rank, are compared with
-    those after them that are not yet in the same component; numbers of such leaders grow by
-    rounds. A signature is done when its nodes are in one component or all have led. So a group of
-    near copies costs its size, and no pair that could join two components is left out.
+    A signature's nodes are not all paired. The one with most common tokens leads first and is
+    compared with all others. The rest have places by hash, as many as there are nodes; in each
+    round those of the next places lead and are compared with those of later places that are not
+    yet in the same component. The places of a round grow by rounds. A signature is done when its
+    nodes are in one component or all have led. So a group of near copies costs its size, no pair
+    that could join two components is left out, and no task ranks or gathers a group.
     """
     posts = sets.select("node", "n", "common", F.explode("sigs").alias("sig"))
     shared = posts.groupBy("sig").agg(
@@ -310,33 +312,34 @@ def linked(sets: DataFrame) -> DataFrame:
     )
     alone = sets.select("node", F.col("node").alias("component"))
     labels = merged(alone, written(verified(pairs, sets), "verified"))
-    led, step = 1, 8
+    others = F.col("members") - 1
+    placed = posts.where("node <> lead").withColumn("place", F.pmod(F.xxhash64("sig", "node"), others))
+    led, step = 0, 8
     while True:
-        known = (
-            posts.where(F.col("members") > led + 1)
-            .join(labels, "node")
-            .select("sig", "node", "n", "common", "component")
-        )
+        known = placed.where(others > led).join(labels, "node")
         mixed = known.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         open_ = written(mixed.where("low <> high").select("sig"), "open-signatures")
         if not open_.limit(1).count():
             return labels
-        left = known.join(open_, "sig", "left_semi").join(sets.select("node", "bits"), "node")
-        ranks = written(
-            left.withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy(-F.col("common"), "node"))), "ranked"
+        left = written(
+            known.join(open_, "sig", "left_semi")
+            .select("sig", "place", "node", "n", "common", "component")
+            .join(sets.select("node", "bits"), "node"),
+            "open-postings",
         )
-        leaders = ranks.where(F.col("rank").between(led + 1, led + step)).select(
+        leaders = left.where(F.col("place").between(led, led + step - 1)).select(
             "sig",
+            F.col("place").alias("ap"),
             F.col("node").alias("a"),
             F.col("n").alias("an"),
             F.col("common").alias("as"),
             F.col("bits").alias("ab"),
             F.col("component").alias("ac"),
-            F.col("rank").alias("ar"),
         )
+        later = F.struct("place", "node") > F.struct("ap", "a")
         pairs = (
-            ranks.join(leaders, "sig")
-            .where((F.col("rank") > F.col("ar")) & (F.col("component") != F.col("ac")))
+            left.join(leaders, "sig")
+            .where(later & (F.col("component") != F.col("ac")))
             .where(may_link(F.col("n"), F.col("common"), F.col("an"), F.col("as")))
             .where(bits_allow(F.col("n"), F.col("bits"), F.col("an"), F.col("ab")))
             .select("a", F.col("node").alias("b"))
