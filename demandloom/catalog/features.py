@@ -287,25 +287,29 @@ def target_encoding(spark, folder):
     return features.target_encoding(holed(spark, folder), ["store_id"])
 
 
-ALL_CONFIG = FeatureConfig(lags=(1, 7), windows=(7,), stats=("mean", "std"))
+ALL = FeatureConfig()
+#: Filled columns of the full feature set, with the digits compared.
+FILLED = {f"sales_lag_{n}": 2 for n in ALL.lags} | {
+    f"sales_rolling_{w}_{s}": 3 for w in ALL.windows for s in ALL.stats
+}
 
 
 @query("all_features",
-       f"{ROW} sales:2 year:i weekofyear:i is_weekend:i is_holiday:i day_sin:6 sales_lag_1:2"
-       " sales_lag_7:2 sales_rolling_7_mean:4 sales_rolling_7_std:3 quantity_sold:2",
+       f"{ROW} sales:2 year:i weekofyear:i is_weekend:i is_holiday:i day_sin:6 quantity_sold:2 "
+       + " ".join(f"{c}:{digits}" for c, digits in FILLED.items()),
        f"""{PANEL},
-       raw AS (SELECT *, {_lags_sql((1, 7))}, {_rolling_sql((7,), ("mean", "std"))} FROM panel) =>
+       raw AS (SELECT *, {_lags_sql(ALL.lags)}, {_rolling_sql(ALL.windows, ALL.stats)} FROM panel) =>
        SELECT date, store_id, sales, year(date) AS year, week(date) AS weekofyear,
               CAST(isodow(date) >= 6 AS INTEGER) AS is_weekend, {IS_HOLIDAY} AS is_holiday,
               sin(2 * pi() * day(date) / 31) AS day_sin, quantity_sold, """
        + ", ".join(
            f"coalesce({c}, first_value({c} IGNORE NULLS) OVER ({SERIES} ROWS BETWEEN CURRENT ROW"
            f" AND UNBOUNDED FOLLOWING)) AS {c}"
-           for c in ("sales_lag_1", "sales_lag_7", "sales_rolling_7_mean", "sales_rolling_7_std")
+           for c in FILLED
        )
        + " FROM raw")
 def all_features(spark, folder):
-    return features.all_features(panel(spark, folder), config=ALL_CONFIG)
+    return features.all_features(panel(spark, folder), config=ALL)
 
 
 @query("store_numbers", "s_suppkey:i number:i",

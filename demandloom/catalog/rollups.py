@@ -103,11 +103,11 @@ def daily_series(spark, folder):
        f"""{PANEL},
        event AS (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS store_id,
                         arg_min(o_custkey % 5, o_orderkey) / -10.0 AS impact
-                 FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2) =>
+                 FROM orders GROUP BY 1, 2) =>
        SELECT p.date, p.store_id, p.sales, coalesce(impact, 0.0) AS impact
        FROM panel p LEFT JOIN event USING (date, store_id)""")
 def first_event_impact(spark, folder):
-    events = table(spark, folder, "orders").where("o_orderstatus = 'F'").select(
+    events = table(spark, folder, "orders").select(
         F.to_date("o_orderdate").alias("date"),
         F.col("o_orderpriority").alias("store_id"),
         "o_orderkey",

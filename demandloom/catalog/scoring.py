@@ -114,12 +114,12 @@ def member_intervals(spark, folder):
     return scoring.member_intervals(wide, MEMBERS)
 
 
-@query("holdout_validation", "validation_rmse:4 validation_mae:4 validation_r2:4 validation_samples:i",
-       f"""{SCORED}, m AS (SELECT count(*) AS n, {METRICS_SQL} FROM scored WHERE model = 'mean_7') =>
-       SELECT rmse AS validation_rmse, mae AS validation_mae, r2 AS validation_r2,
+@query("holdout_validation", "model:s validation_rmse:4 validation_mae:4 validation_r2:4 validation_samples:i",
+       f"""{SCORED}, m AS (SELECT model, count(*) AS n, {METRICS_SQL} FROM scored GROUP BY model) =>
+       SELECT model, rmse AS validation_rmse, mae AS validation_mae, r2 AS validation_r2,
               n AS validation_samples FROM m""")
 def holdout_validation(spark, folder):
-    rows = scored(spark, folder).where("model = 'mean_7'")
+    rows = scored(spark, folder)
     chosen = {f"validation_{n}": c for n, c in metrics.metric_columns().items() if n in ("rmse", "mae", "r2")}
     chosen["validation_samples"] = F.count(F.lit(1))
-    return metrics.forecast_metrics(rows, [], chosen)
+    return metrics.forecast_metrics(rows, ["model"], chosen)

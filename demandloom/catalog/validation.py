@@ -53,12 +53,11 @@ def column_profile(spark, folder):
 
 
 @query("duplicate_rows", "n_rows:i duplicate_rows:i",
-       """rows_seen AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2) =>
-       SELECT sum(n) AS n_rows, sum(n - 1) AS duplicate_rows FROM rows_seen""")
+       """different AS (SELECT DISTINCT * FROM lineitem) =>
+       SELECT n_rows, n_rows - (SELECT count(*) FROM different) AS duplicate_rows
+       FROM (SELECT count(*) AS n_rows FROM lineitem)""")
 def duplicate_rows(spark, folder):
-    return validate.duplicate_rows(
-        table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
-    )
+    return validate.duplicate_rows(table(spark, folder, "lineitem"))
 
 
 @query("iqr_outliers",
@@ -200,13 +199,16 @@ def duplicate_times(spark, folder):
     )
 
 
-@query("interval_length", "interval_seconds:i",
-       f"""{CUBE}, steps AS (SELECT epoch(timestamp) - epoch(lag(timestamp) OVER (ORDER BY timestamp))
-                             AS delta FROM cube WHERE channel = 'signup') =>
-       SELECT CAST(floor(median(delta)) AS BIGINT) AS interval_seconds FROM steps""")
+@query("interval_length", "channel:s interval_seconds:i",
+       f"""{CUBE}, steps AS (
+         SELECT channel, epoch(timestamp)
+                - epoch(lag(timestamp) OVER (PARTITION BY channel ORDER BY timestamp)) AS delta
+         FROM cube) =>
+       SELECT channel, CAST(floor(median(delta)) AS BIGINT) AS interval_seconds
+       FROM steps GROUP BY channel""")
 def interval_length(spark, folder):
-    cube = staffing.demand_cube(contacts(spark, folder)).where("channel = 'signup'")
-    return validate.interval_seconds(cube)
+    cube = staffing.demand_cube(contacts(spark, folder))
+    return validate.interval_seconds(cube, keys=["channel"])
 
 
 EARLY = "date < DATE '1998-01-01'"

@@ -57,6 +57,8 @@ def _time_measures(
 
 
 def _value_measures(scored: DataFrame) -> DataFrame:
+    if "prediction" not in scored.columns:
+        scored = scored.withColumn("prediction", F.lit(None).cast("double"))
     y, p = F.col("actual").try_cast("double"), F.col("prediction").try_cast("double")
     pair = finite(y) & finite(p)
     error = F.when(pair, p - y)
@@ -100,14 +102,23 @@ def quality_checks(
     time: str = "date",
     entity: Sequence[str] = (),
     thresholds: QualityThresholds = QualityThresholds(),
+    models: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per model and check: ``model, check, code, status, metric_value, message``."""
+    """One row per model and check: ``model, check, code, status, metric_value, message``.
+
+    A table without a ``prediction`` column is one of missing predictions. ``models`` names those
+    that must be there: one without any row fails instead of having no report.
+    """
     t = thresholds
     m = quality_measures(scored, time, entity, t)
+    if models:
+        named = scored.sparkSession.createDataFrame([(n,) for n in models], "model string")
+        counts = [n for n in m.columns if m.schema[n].dataType.typeName() == "long"]
+        m = named.join(m, "model", "full").na.fill(0, [*counts]).na.fill({"missing_share": 1.0})
     c = F.col
     few = c("n_times") < 2
     missing = F.when(few, c("null_times")).otherwise(c("holes") + c("null_times"))
-    missing_code = F.when(few, F.when(c("null_times") > 0, 1).otherwise(0)).otherwise(
+    missing_code = F.when(c("n_rows") == 0, 2).when(few, F.when(c("null_times") > 0, 1).otherwise(0)).otherwise(
         grade(missing, t.missing_timestamp_warn, t.missing_timestamp_fail)
     )
     none = c("n_points") == 0

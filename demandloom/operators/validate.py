@@ -256,35 +256,43 @@ def drift_alerts(statistics: DataFrame, threshold: float = 0.1) -> DataFrame:
     return statistics.withColumn("drifted", (F.col("ks") > threshold).cast("int"))
 
 
-def interval_seconds(df: DataFrame, time: str = "timestamp") -> DataFrame:
-    """Median distance of successive timestamps, in whole seconds.
+def interval_seconds(
+    df: DataFrame, time: str = "timestamp", keys: Sequence[str] = ()
+) -> DataFrame:
+    """Median distance of successive timestamps of each ``keys``, in whole seconds.
+
+    Keys with fewer than two timestamps have no row.
 
     Repeated timestamps have distance 0; they are counted, not listed, before the distances
     are taken between the distinct ones inside hash-partitioned days and across their borders.
     """
     seen = (
         df.where(F.col(time).isNotNull())
-        .groupBy(F.col(time).alias("__t"))
+        .groupBy(*keys, F.col(time).alias("__t"))
         .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__day", F.to_date("__t"))
+        .withColumn("__day", F.struct(*keys, F.to_date("__t").alias("__date")))
     )
     ends = seen.groupBy("__day").agg(F.max("__t").alias("__end"))
-    previous = F.lag("__end").over(whole_series([F.lit(0)], "__day"))
+    series = [F.col(f"__day.{k}") for k in keys] or [F.lit(0)]
+    previous = F.lag("__end").over(whole_series(series, "__day.__date"))
     borders = ends.withColumn("__previous", previous).drop("__end")
     inside = F.lag("__t").over(whole_series(["__day"], "__t"))
     linked = seen.withColumn("__before", inside).join(borders, "__day")
     step = wall_seconds(F.col("__t")) - wall_seconds(F.coalesce("__before", "__previous"))
     steps = linked.select(
+        *keys,
         F.explode(
             F.array(
                 F.struct(step.alias("delta"), F.lit(1).cast("long").alias("n")),
                 F.struct(F.lit(0).cast("long").alias("delta"), (F.col("__n") - 1).alias("n")),
             )
         ).alias("s")
-    ).select("s.*")
-    weighted = steps.where("delta is not null and n > 0").groupBy("delta").agg(F.sum("n").alias("n"))
+    ).select(*keys, "s.*")
+    weighted = steps.where("delta is not null and n > 0").groupBy(*keys, "delta").agg(F.sum("n").alias("n"))
     # Distinct distances are few (a day has 86,400 seconds); the weighted median is exact.
-    return weighted.agg(F.percentile("delta", F.lit(0.5), F.col("n")).cast("long").alias("interval_seconds"))
+    return weighted.groupBy(*keys).agg(
+        F.percentile("delta", F.lit(0.5), F.col("n")).cast("long").alias("interval_seconds")
+    )
 
 
 def validation_report(

@@ -115,3 +115,23 @@ def test_report_and_summary(spark):
 def test_settings_ignore_unknown_keys():
     got = QualityThresholds.from_mapping({"bias_warn": 1.0, "enabled": True})
     assert got.bias_warn == 1.0 and got.bias_fail == 200.0
+
+
+def test_absent_prediction_column_fails(spark):
+    rows = spark.sql("SELECT DATE '2024-01-01' + CAST(id AS INT) AS date, 'm' AS model, 1.0D AS actual FROM range(3)")
+    got = {r["check"]: r["status"] for r in quality.quality_checks(rows).collect()}
+    assert got["missing_predictions"] == got["abnormal_errors"] == "FAIL"
+    assert got["missing_timestamps"] == "PASS"
+
+
+def test_named_model_without_rows_fails(spark):
+    rows = spark.sql(
+        "SELECT DATE '2024-01-01' + CAST(id AS INT) AS date, 'm' AS model, 1.0D AS actual, 1.0D AS prediction FROM range(3)"
+    )
+    for table, models in ((rows, ["m", "n"]), (rows.limit(0), ["n"])):
+        got = quality.quality_checks(table, models=models).where("model = 'n'").collect()
+        status = {r["check"]: r["status"] for r in got}
+        assert len(status) == 7
+        assert status["missing_timestamps"] == status["missing_predictions"] == "FAIL"
+    alone = quality.quality_checks(rows, models=["m", "n"]).where("model = 'm'").collect()
+    assert {r["status"] for r in alone} == {"PASS"}
