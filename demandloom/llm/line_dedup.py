@@ -59,16 +59,66 @@ def without_boilerplate(
     )
 
 
-def drop_lines(docs: DataFrame, ratio: float = 0.1, least: int = 4) -> DataFrame:
-    """Documents with the boilerplate lines of their source taken out of ``text``.
+#: Lines with text at either end of a document that can be a header or footer.
+EDGE_LINES = 2
 
-    A document whose lines all stay keeps its text as it is; null text stays null. ``n_chars``
-    follows the text where the table has that column.
+
+def _bare(line: Column) -> Column:
+    return F.btrim(line, F.lit(" \t\r\x0b\x0c"))
+
+
+def edge_boilerplate(pages: DataFrame, ratio: float, least: int) -> DataFrame:
+    """``tongue (a struct), edges`` (hashes): headers and footers on more than ``ratio`` of its documents.
+
+    ``pages`` has ``tongue`` and ``lines`` (trimmed). Only the first and last ``EDGE_LINES`` lines with
+    text count, so a tongue has at most ``2 * EDGE_LINES / ratio`` of them. Documents with the same
+    longest line count as one: copies share it, while a header meets a new one in each document.
+    """
+    shown = F.filter("lines", lambda x: x != "")
+    ends = F.concat(F.slice("shown", 1, EDGE_LINES), F.slice(F.reverse("shown"), 1, EDGE_LINES))
+    longest = F.array_max(F.transform("shown", lambda x: F.struct(F.length(x), _key(x))))
+    rows = pages.select("tongue", shown.alias("shown")).select(
+        "tongue",
+        longest.alias("longest"),
+        F.explode(F.array_distinct(F.transform(ends, _key))).alias("line"),
+    )
+    counts = rows.distinct().groupBy("tongue", "line").count().where(F.col("count") >= least)
+    totals = pages.groupBy("tongue").agg(F.count(F.lit(1)).alias("pages"))
+    return (
+        counts.join(totals, "tongue")
+        .where(F.col("count") > ratio * F.col("pages"))
+        .groupBy("tongue")
+        .agg(F.collect_list("line").alias("edges"))
+    )
+
+
+def drop_lines(
+    docs: DataFrame, ratio: float = 0.1, least: int = 4, edge_ratio: float = 0.01
+) -> DataFrame:
+    """Documents with boilerplate lines taken out of ``text``.
+
+    A line is boilerplate of its source above ``ratio`` of the source's documents, wherever it stands,
+    and of its language above ``edge_ratio`` of the language's documents (where the table has ``lang``)
+    if it stands at their ends. Lines are compared trimmed. A document whose lines all stay keeps its
+    text as it is; null text stays null. ``n_chars`` follows the text where the table has that column.
     """
     text = F.col("row.text")
-    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
-    met = without_boilerplate(docs, F.col("source"), lines, ratio, least)
-    new = F.when(F.size("kept") == F.size("lines"), text).otherwise(F.array_join("kept", "\n"))
+    raw = F.split(F.coalesce(text, F.lit("")), "\n")
+    groups = {"host": F.struct("source")}
+    if "lang" in docs.columns:
+        groups["tongue"] = F.struct("lang")
+    pages = written(docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in groups.items()]), "pages")
+    lines = pages.withColumn("lines", F.transform(raw, _bare)).drop("row")
+    met = lookup(pages, written(boilerplate(lines, ratio, least), "boilerplate"), "host")
+    drops = [F.coalesce("dropped", F.array().cast("array<bigint>"))]
+    if "tongue" in groups:
+        met = lookup(met, written(edge_boilerplate(lines, edge_ratio, least), "edges"), "tongue")
+        drops.append(F.coalesce("edges", F.array().cast("array<bigint>")))
+    gone = F.array_union(*drops) if len(drops) > 1 else drops[0]
+    met = met.withColumns({"gone": gone, "raw": raw})
+    kept = F.filter("raw", lambda x: (_bare(x) == "") | ~F.array_contains("gone", _key(_bare(x))))
+    met = met.withColumn("kept", F.when(F.size("gone") == 0, F.col("raw")).otherwise(kept))
+    new = F.when(F.size("kept") == F.size("raw"), text).otherwise(F.array_join("kept", "\n"))
     row = F.col("row").withField("text", new)
     out = met.select(row.alias("row")).select("row.*")
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out

@@ -131,6 +131,47 @@ def test_lines_of_many_pages_are_dropped(spark):
     assert got[3] == "own line 3\n" and got[9] is None and got[10] == "banner"
 
 
+def kept_by_hand(rows, ratio, least, edge_ratio):
+    """Texts after both line rules, from ``(doc_id, text, source, lang)``."""
+    bare = {r[0]: [x.strip(" \t\r\x0b\x0c") for x in r[1].split("\n")] for r in rows}
+    inside, ends, sizes = defaultdict(set), defaultdict(set), Counter()
+    for i, _, source, lang in rows:
+        sizes["s", source] += 1
+        sizes["l", lang] += 1
+        shown = [x for x in bare[i] if x]
+        for x in shown:
+            inside["s", source, x].add(i)
+        for x in shown[:2] + shown[-2:]:
+            ends["l", lang, x].add(max((len(y), zlib.crc32(y.encode())) for y in shown))
+    gone = {k for k, v in inside.items() if len(v) >= least and len(v) > ratio * sizes[k[:2]]}
+    gone |= {k for k, v in ends.items() if len(v) >= least and len(v) > edge_ratio * sizes[k[:2]]}
+    return {
+        i: "\n".join(x for x, b in zip(text.split("\n"), bare[i]) if ("s", source, b) not in gone and ("l", lang, b) not in gone)
+        for i, text, source, lang in rows
+    }
+
+
+def test_headers_of_a_language_go_and_copies_and_prose_stay(spark):
+    rows = []
+    for i in range(900):
+        body = [prose(10_000 + 9 * i + j, 12) for j in range(6)]
+        if i % 20 == 3:  # 5% of the documents, 0.25% to 5% of a source: a header of two lines, one of them padded
+            body = ["Share this page ", "Menu", *body]
+        if i % 25 == 4:
+            body = [*body, "All rights reserved."]
+        if i % 12 == 5:  # a sentence of prose, never at the ends
+            body.insert(4, "And so on.")
+        if i >= 860:  # copies of one document
+            body = [prose(j, 12 + j) for j in range(6)]
+        rows.append((i, "\n".join(body), f"s{i % 20}", "en" if i % 3 else None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_lines(docs, 0.9, 4, 0.01).collect()}
+    assert got == kept_by_hand(rows, 0.9, 4, 0.01)
+    whole = "\n".join(got.values())
+    assert "Share this page" not in whole and "Menu" not in whole and "rights reserved" not in whole
+    assert "And so on." in whole and all(got[i] == rows[i][1] for i in range(860, 900))
+
+
 def test_mixing_repeats_and_targets(spark, edge):
     rows = [(i, "w " * (1 + i % 5), "abc"[i % 3]) for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
