@@ -71,12 +71,12 @@ def ensemble_dynamic(spark, folder):
     return ensemble.dynamic_prediction(scored(spark, folder))
 
 
-@query("blend_weights", "model:s weight:4")
+@query("blend_weights", "model:s weight:4 n_left_out:i")
 def blend_weights(spark, folder):
     return ensemble.blend_weights(scored(spark, folder), KEYS, MEMBERS, "rmse")
 
 
-@query("blend_weights_mae", "model:s weight:4")
+@query("blend_weights_mae", "model:s weight:4 n_left_out:i")
 def blend_weights_mae(spark, folder):
     return ensemble.blend_weights(scored(spark, folder), KEYS, MEMBERS, "mae")
 
@@ -87,11 +87,11 @@ def _stacked(spark, folder, meta):
     return ensemble.stacked_prediction(fit, use, KEYS, MEMBERS, meta)
 
 
-@query("stacking", "date:d store_id:s actual:2 prediction:2")
+@query("stacking", "date:d store_id:s actual:2 prediction:2 error:s")
 def stacking(spark, folder):
     return _stacked(spark, folder, "ridge")
 
 
-@query("stacking_lasso", "date:d store_id:s actual:2 prediction:2")
+@query("stacking_lasso", "date:d store_id:s actual:2 prediction:2 error:s")
 def stacking_lasso(spark, folder):
     return _stacked(spark, folder, "lasso")

@@ -112,7 +112,7 @@ AGG_SQL = {"mean": "avg", "std": "stddev_pop", "min": "min", "max": "max"}
        {", ".join(f"{AGG_SQL[s]}({m}) AS {m}_{s}" for m, s in AGG)}
        FROM per_fold GROUP BY 1, 2""")
 def cv_aggregate(spark, folder):
-    return evaluate.cross_validate(evaluate.naive_fold_scores(panel(spark, folder), CvConfig()))
+    return evaluate.cross_validate(evaluate.naive_fold_scores(panel(spark, folder), CvConfig(), unfolded=True))
 
 
 @query("cv_panel_rows", f"model:s fold_id:i {SIX}",
@@ -141,7 +141,7 @@ stddev_pop(wape) AS wape_std, stddev_pop(bias) AS bias_std"""
 
 
 def day_scores(spark, folder):
-    return evaluate.naive_fold_scores(daily(spark, folder), HorizonConfig(), keys=[])
+    return evaluate.naive_fold_scores(daily(spark, folder), HorizonConfig(), keys=[], unfolded=True)
 
 
 @query("multi_horizon", f"model:s horizon:i {HORIZON}",
@@ -155,7 +155,7 @@ def multi_horizon(spark, folder):
        f"""{STORE_SERIES}, {_folds_sql(14)}, {HORIZON_SQL} =>
        SELECT store_id, model, horizon, {HORIZON_MEANS} FROM per_fold GROUP BY 1, 2, 3""")
 def multi_horizon_stores(spark, folder):
-    scores = evaluate.naive_fold_scores(panel(spark, folder), HorizonConfig())
+    scores = evaluate.naive_fold_scores(panel(spark, folder), HorizonConfig(), unfolded=True)
     return evaluate.multi_horizon(scores, keys=["store_id"])
 
 
@@ -206,7 +206,7 @@ def qq_points(spark, folder):
 CLASSICAL = {"seasonal_naive": {}, "holt_winters": {}, "sarimax": {}}
 
 
-@query("classical_cv", "store_id:s model:s n_folds:i rmse_mean:4 mae_mean:4 wape_mean:4")
+@query("classical_cv", "store_id:s model:s n_folds:i rmse_mean:4 mae_mean:4 wape_mean:4 error:s")
 def classical_cv(spark, folder):
     scores = evaluate.classical_fold_scores(panel(spark, folder), CvConfig(), CLASSICAL)
     return evaluate.cross_validate(scores)

@@ -82,11 +82,21 @@ def dynamic_prediction(
 
 def member_columns(scored: DataFrame, keys: Sequence[str], members: Sequence[str]) -> DataFrame:
     """One column per member, rows with every member present."""
-    wide = scored.groupBy(*keys).agg(
+    return _wide(scored, keys, members).na.drop(subset=["actual", *members])
+
+
+def _wide(scored: DataFrame, keys: Sequence[str], members: Sequence[str]) -> DataFrame:
+    """One column per member, every row."""
+    return scored.groupBy(*keys).agg(
         F.max("actual").alias("actual"),
         *[F.max(F.when(F.col("model") == m, F.col("prediction"))).alias(m) for m in members],
     )
-    return wide.na.drop(subset=["actual", *members])
+
+
+def _absent(members: Sequence[str]) -> Column:
+    """The names of the members that a wide row lacks; null where none is."""
+    names = F.concat_ws(", ", *[F.when(F.col(m).isNull() | F.isnan(m), F.lit(m)) for m in members])
+    return F.when(names != "", F.concat(F.lit("Absent: "), names))
 
 
 def _gram(wide: DataFrame, inputs: Sequence[Column]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
@@ -170,7 +180,9 @@ def _least_absolute(wide: DataFrame, errors: Sequence[Column], steps: int = 30)
 def blend_weights(
     scored: DataFrame, keys: Sequence[str], members: Sequence[str], metric: str = "rmse"
 ) -> DataFrame:
-    """Weights in [0, 1] with sum 1 that minimise the error of the blend: ``model, weight``.
+    """Weights in [0, 1] with sum 1 that minimise the error of the blend: ``model, weight, n_left_out``.
+
+    Rows that lack a member or the actual cannot be fitted on; ``n_left_out`` counts them.
 
     RMSE (and R2, which has the same optimum) needs the second moments only. MAE takes them
     again with rows weighted by one over their error, a few aggregations for any number of members.
@@ -185,8 +197,9 @@ def blend_weights(
         w = _least_absolute(wide, [F.col(m) - F.col("actual") for m in members])
     else:
         raise ValueError("metric must be 'rmse', 'r2' or 'mae'")
-    rows = [(m, float(x)) for m, x in zip(members, w / w.sum())]
-    return scored.sparkSession.createDataFrame(rows, "model string, weight double")
+    left_out = _wide(scored, keys, members).where(_absent(members).isNotNull() | F.col("actual").isNull()).count()
+    rows = [(m, float(x), left_out) for m, x in zip(members, w / w.sum())]
+    return scored.sparkSession.createDataFrame(rows, "model string, weight double, n_left_out long")
 
 
 def stacking_inputs(members: Sequence[str]) -> dict[str, Column]:
@@ -205,16 +218,24 @@ def stacked_prediction(
     meta: str = "ridge",
     seed: int = 42,
 ) -> DataFrame:
-    """Fit a meta-model on member predictions and apply it: ``keys, actual, prediction``."""
+    """Fit a meta-model on member predictions and apply it: ``keys, actual, prediction, error``.
+
+    A scored row that lacks a member has no prediction, and ``error`` names the member.
+    """
     inputs = stacking_inputs(members)
-    fit, use = member_columns(train, keys, members), member_columns(score, keys, members)
+    fit = member_columns(train, keys, members)
+    every = _wide(score, keys, members).withColumn("error", _absent(members))
+    use = every.where("error IS NULL")
+    lacking = every.where("error IS NOT NULL").select(
+        *keys, "actual", F.lit(None).cast("double").alias("prediction"), "error"
+    )
     if meta == "ridge":
         cov, means, cross, n = _gram(fit, list(inputs.values()))
         k = len(inputs)
         coef = np.linalg.solve(cov[:k, :k] * n + np.eye(k), cross * n)
         base = float(means[k] - means[:k] @ coef)
         value = sum((c * float(x) for c, x in zip(inputs.values(), coef)), F.lit(base))
-        return use.select(*keys, "actual", value.alias("prediction"))
+        return use.select(*keys, "actual", value.alias("prediction"), "error").unionByName(lacking)
     if meta in ("lasso", "elastic"):
         learner = LinearRegression(
             featuresCol="__x", labelCol="actual", regParam=0.01, standardization=False,
@@ -228,4 +249,4 @@ def stacked_prediction(
         raise ValueError("meta must be 'ridge', 'lasso', 'elastic' or 'rf'")
     fit, use = fit.withColumns(inputs), use.withColumns(inputs)
     model = Pipeline(stages=[VectorAssembler(inputCols=list(inputs), outputCol="__x"), learner]).fit(fit)
-    return model.transform(use).select(*keys, "actual", "prediction")
+    return model.transform(use).select(*keys, "actual", "prediction", "error").unionByName(lacking)

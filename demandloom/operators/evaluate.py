@@ -19,14 +19,23 @@ from demandloom.operators.split import (
     panel_positions,
     rolling_origin_folds,
     series_positions,
+    unfolded_series,
 )
-from demandloom.plans.tables import durable, whole_series
+from demandloom.plans.tables import durable, per_group, whole_series
 
 
 def _clean(df: DataFrame, target: str) -> DataFrame:
     return df.where(F.col(target).isNotNull())
 
 
+def _with_unfolded(
+    scores: DataFrame, unfolded: DataFrame, keys: Sequence[str], models: Sequence[str]
+) -> DataFrame:
+    """The scores and, per model, one row with ``error`` for each series without a fold."""
+    named = unfolded.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
+    return scores.unionByName(named.select(*keys, "model", "error"), allowMissingColumns=True)
+
+
 def naive_fold_scores(
     df: DataFrame,
     config: CvConfig | HorizonConfig,
@@ -34,22 +43,28 @@ def naive_fold_scores(
     date: str = "date",
     target: str = "sales",
     season: int = SEASON,
+    unfolded: bool = False,
 ) -> DataFrame:
     """Seasonal-naive predictions of every test row of every fold.
 
     Step ``j`` of a fold repeats the value ``season * ceil(j / season)`` rows back, so all
-    predictions are lags on the window that numbers the rows. No training row is copied.
+    predictions are lags on the window that numbers the rows. No training row is copied. A fold with
+    less than a season before it has its test rows with ``error`` and no prediction. With ``unfolded``
+    a series too short for a fold has one row with ``error``; without, it has none.
     """
     longest = config.longest if isinstance(config, HorizonConfig) else config.horizon
     window = whole_series(keys, date)
     cycles = range(1, -(-longest // season) + 1)
     back = F.array(*[F.lag(target, season * c).over(window) for c in cycles])
     rows = series_positions(_clean(df, target), keys, date).withColumn("__back", back)
-    folds = rolling_origin_folds(fold_sizes(df, keys, target), config, keys)
+    sizes = fold_sizes(df, keys, target)
+    folds = rolling_origin_folds(sizes, config, keys)
     step = (F.col("position") - F.col("test_start") + 1).cast("int")
     test = fold_rows(rows, folds, keys).withColumn("step", step)
     value = F.get("__back", F.floor((F.col("step") - 1) / season).cast("int"))
-    return test.where(F.col("train_end") >= season).select(
+    enough = F.col("train_end") >= season
+    short = F.format_string(f"Need at least {season} observations, got %d", F.col("train_end"))
+    scores = test.select(
         *keys,
         F.lit("seasonal_naive").alias("model"),
         "fold_id",
@@ -57,8 +72,12 @@ def naive_fold_scores(
         "step",
         date,
         F.col(target).alias("actual"),
-        value.alias("prediction"),
+        F.when(enough, value).alias("prediction"),
+        F.when(~enough, short).alias("error"),
     )
+    if not unfolded:
+        return scores
+    return _with_unfolded(scores, unfolded_series(sizes, config, keys), keys, ["seasonal_naive"])
 
 
 def panel_row_naive_scores(
@@ -104,16 +123,21 @@ def classical_fold_scores(
     date: str = "date",
     target: str = "sales",
 ) -> DataFrame:
-    """Predictions of the fitted forecasters for every test row, with fit errors kept."""
+    """Predictions of the fitted forecasters for every test row, with fit errors kept.
+
+    A series too short for a fold has one row per model with ``error``.
+    """
     rows = series_positions(_clean(df, target), keys, date)
-    folds = rolling_origin_folds(fold_sizes(df, keys, target), config, keys)
+    sizes = fold_sizes(df, keys, target)
+    folds = rolling_origin_folds(sizes, config, keys)
     predicted = forecast_origins(df, folds, models, keys, date, target)
     actual = rows.select(*keys, "position", date, F.col(target).alias("actual"))
     ends = F.col("position") - F.col("step") + 1
-    return predicted.join(actual, [*keys, "position"]).select(
+    scores = predicted.join(actual, [*keys, "position"]).select(
         *keys, "model", "fold_id", ends.alias("train_end"), "step", date, "actual", "prediction",
         "error",
     )
+    return _with_unfolded(scores, unfolded_series(sizes, config, keys), keys, list(models))
 
 
 def learner_fold_scores(
@@ -174,17 +198,38 @@ def fold_metrics(
 def cross_validate(
     scores: DataFrame, keys: Sequence[str] = ("store_id",)
 ) -> DataFrame:
-    """Mean, deviation, minimum and maximum of each metric over the folds of a series."""
-    return fold_aggregates(fold_metrics(scores, [*keys, "model", "fold_id"]), [*keys, "model"])
+    """Mean, deviation, minimum and maximum of each metric over the folds of a series.
+
+    A series without a scored fold stays with ``n_folds`` 0 and no metrics. ``error`` has one of the
+    messages of the folds left out, if any.
+    """
+    by = [*keys, "model"]
+    means = fold_aggregates(fold_metrics(scores, [*by, "fold_id"]), by)
+    errors = _errors(scores, by)
+    return per_group(errors, means, by).withColumn("n_folds", F.coalesce("n_folds", F.lit(0)))
+
+
+def _errors(scores: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``by, error`` for every group, with or without predictions."""
+    error = F.col("error") if "error" in scores.columns else F.lit(None).cast("string")
+    # Fresh aliases, because the other side descends from the same scores.
+    return scores.groupBy(*[F.col(c).alias(c) for c in by]).agg(F.max(error).alias("error"))
 
 
 def multi_horizon(
     scores: DataFrame, config: HorizonConfig = HorizonConfig(), keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Accuracy and bias per model and horizon, averaged over the folds."""
+    """Accuracy and bias per model and horizon, averaged over the folds.
+
+    A group without predictions stays at every horizon with ``n_folds`` 0. ``error`` has one of the
+    messages of the series and folds left out, if any.
+    """
+    by = [*keys, "model"]
     known = scores.where(F.col("prediction").isNotNull())
-    per_fold = by_horizon(known, config.horizons, [*keys, "model", "fold_id"])
-    return horizon_table(per_fold, [*keys, "model"])
+    table = horizon_table(by_horizon(known, config.horizons, [*by, "fold_id"]), by)
+    horizons = F.array(*[F.lit(int(h)) for h in sorted(set(config.horizons))])
+    groups = _errors(scores, by).withColumn("horizon", F.explode(horizons))
+    return per_group(groups, table, [*by, "horizon"]).withColumn("n_folds", F.coalesce("n_folds", F.lit(0)))
 
 
 def holdout_scores(

@@ -46,6 +46,11 @@ def metric_columns(
     }
 
 
+def predicted_only(scored: DataFrame) -> DataFrame:
+    """Rows without a prediction stay, so that their model does, but no metric counts them."""
+    return scored.withColumn("actual", F.when(F.col("prediction").isNotNull(), F.col("actual")))
+
+
 def forecast_metrics(
     scored: DataFrame,
     by: Sequence[str] = ("model",),

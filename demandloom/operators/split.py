@@ -136,9 +136,34 @@ def rolling_origin_folds(
     """Expanding-window folds per series from its size ``n``.
 
     Columns: ``keys, fold_id, train_end, test_start, test_end, horizon, train_size``; ends are
-    exclusive. A series too short for a fold yields none.
+    exclusive. A series too short for a fold yields none; :func:`unfolded_series` names those.
     """
     horizon = config.longest if isinstance(config, HorizonConfig) else config.horizon
+    kept = _train_ends(config)
+    return sizes.where(F.col("n") >= 2).select(*keys, F.posexplode(kept).alias("fold_id", "train_end")).select(
+        *keys,
+        "fold_id",
+        "train_end",
+        F.col("train_end").alias("test_start"),
+        (F.col("train_end") + horizon).alias("test_end"),
+        F.lit(horizon).alias("horizon"),
+        F.col("train_end").alias("train_size"),
+    )
+
+
+def unfolded_series(
+    sizes: DataFrame, config: CvConfig | HorizonConfig, keys: Sequence[str] = ("store_id",)
+) -> DataFrame:
+    """``keys, error``: the series for which :func:`rolling_origin_folds` has no fold."""
+    n = F.col("n")
+    return sizes.where((n < 2) | (F.size(_train_ends(config)) == 0)).select(
+        *keys, F.format_string("Too short for a fold: %d rows", n).alias("error")
+    )
+
+
+def _train_ends(config: CvConfig | HorizonConfig) -> Column:
+    """Ends of the training rows of each fold, as an array, from the size ``n``."""
+    horizon = config.longest if isinstance(config, HorizonConfig) else config.horizon
     step = config.step if config.step is not None else horizon
     splits = config.n_splits
     n = F.col("n")
@@ -154,20 +179,12 @@ def rolling_origin_folds(
         F.sequence(F.lit(0), F.lit(splits - 1)),
         lambda i: (last_origin - (F.lit(splits - 1) - i) * step).cast("long"),
     )
-    kept = F.filter(origins, lambda origin: origin >= smallest)
-    return sizes.where(n >= 2).select(*keys, F.posexplode(kept).alias("fold_id", "train_end")).select(
-        *keys,
-        "fold_id",
-        "train_end",
-        F.col("train_end").alias("test_start"),
-        (F.col("train_end") + horizon).alias("test_end"),
-        F.lit(horizon).alias("horizon"),
-        F.col("train_end").alias("train_size"),
-    )
+    return F.filter(origins, lambda origin: origin >= smallest)
 
 
 def fold_sizes(df: DataFrame, keys: Sequence[str], target: str = "sales") -> DataFrame:
-    return df.where(F.col(target).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    """Rows with a target per series; a series without any has 0."""
+    return df.groupBy(*keys).agg(F.count(target).alias("n"))
 
 
 def fold_rows(

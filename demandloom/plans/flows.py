@@ -63,9 +63,10 @@ def scored_members(
 
     Boosted members are fitted on the training rows and stopped by the validation rows.
     Classical members forecast the validation rows from training and the test rows from both.
-    Columns: ``stage, keys, date, model, actual, prediction``.
+    Columns: ``stage, keys, date, model, actual, prediction, error``; rows of a failed fit have
+    ``error`` and no prediction.
     """
-    columns = ["stage", *keys, date, "model", "actual", "prediction"]
+    columns = ["stage", *keys, date, "model", "actual", "prediction", "error"]
     fit = parts.where("split <> 'test'").withColumn("is_validation", F.col("split") == "val")
     held = parts.where("split <> 'train'")
     tables = []
@@ -74,13 +75,13 @@ def scored_members(
         tables.append(
             learn.predict(model, held).select(
                 F.col("split").alias("stage"), *keys, date, F.lit(name).alias("model"),
-                F.col(target).alias("actual"), "prediction",
+                F.col(target).alias("actual"), "prediction", F.lit(None).cast("string").alias("error"),
             )
         )
     chosen = enabled_models() if models is None else models
     if chosen:
         classical = evaluate.holdout_scores(parts, chosen, keys, date, target)
-        tables.append(classical.where(F.col("prediction").isNotNull()).select(*columns))
+        tables.append(classical.select(*columns))
     return reduce(DataFrame.unionByName, tables)
 
 
@@ -88,10 +89,10 @@ def with_ensemble(
     scored: DataFrame, keys: Sequence[str] = ("store_id",), date: str = "date"
 ) -> DataFrame:
     """Test rows of every member and of their ensemble, weighted by validation R2."""
-    weights = ensemble.score_weights(scored.where("stage = 'val'"))
+    weights = ensemble.score_weights(metrics.predicted_only(scored.where("stage = 'val'")))
     test = scored.where("stage = 'test'").drop("stage")
     blended = ensemble.weighted_prediction(test, [*keys, date], weights)
-    return test.unionByName(blended.withColumn("model", F.lit("ensemble")))
+    return test.unionByName(blended.withColumn("model", F.lit("ensemble")), allowMissingColumns=True)
 
 
 def review_tables(
@@ -113,7 +114,7 @@ def review_tables(
     seen = parts.where("split <> 'test'")
     folds = evaluate.classical_fold_scores(seen, cv, models, keys, date, target)
     ahead = evaluate.classical_fold_scores(seen, horizons, models, keys, date, target)
-    holdout = metrics.forecast_metrics(scored)
+    holdout = metrics.forecast_metrics(metrics.predicted_only(scored))
     checks = quality.quality_checks(scored, date, keys, thresholds)
     return {
         "holdout": select.leaderboard(holdout),
@@ -165,10 +166,12 @@ def forecast_review(spark: SparkSession, folder: str) -> DataFrame:
 
     rows = panel(spark, folder)
     config = HorizonConfig()
-    scores = evaluate.naive_fold_scores(rows, config)
+    scores = evaluate.naive_fold_scores(rows, config, unfolded=True)
     table = evaluate.multi_horizon(scores, config, ["store_id"])
     gate = quality.quality_report(
-        quality.quality_checks(scores.withColumn("model", F.col("store_id")), entity=["fold_id"])
+        quality.quality_checks(
+            scores.where("fold_id IS NOT NULL").withColumn("model", F.col("store_id")), entity=["fold_id"]
+        )
     )
     status = gate.select(F.col("model").alias("store_id"), F.col("status").alias("quality"))
     return table.join(status, "store_id", "left").orderBy("store_id", "horizon")
