@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from demandloom.llm import (
     exact_dedup,
+    hard_negatives,
     jaccard_join,
     language,
     line_dedup,
     lm_score,
+    merkle,
     mixing,
     packing,
     quality_rules,
@@ -26,10 +28,14 @@ QUERIES = {
     "op8_token_blocks": token_blocks.query,
     "op9_jaccard_join": jaccard_join.query,
     "op10_source_mixing": mixing.query,
+    "op11_hard_negatives": hard_negatives.query,
+    "op12_merkle_manifest": merkle.query,
 }
 
 ORACLES = {
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op7_line_dedup": line_dedup.ORACLE,
     "op10_source_mixing": mixing.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
