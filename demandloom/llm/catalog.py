@@ -15,6 +15,7 @@ from demandloom.llm import (
     quality_rules,
     quality_votes,
     token_blocks,
+    toxicity,
 )
 
 QUERIES = {
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_source_mixing": mixing.query,
     "op11_hard_negatives": hard_negatives.query,
     "op12_merkle_manifest": merkle.query,
+    "op13_toxicity": toxicity.query,
 }
 
 ORACLES = {
