@@ -10,6 +10,7 @@ from demandloom.catalog import (  # noqa: F401
     scoring,
     selection,
     staffing,
+    streams,
     validation,
 )
 from demandloom.catalog.registry import ORACLES, QUERIES
