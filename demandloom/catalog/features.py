@@ -10,6 +10,8 @@ from demandloom.catalog.tables import HOLIDAY_NAME, IS_HOLIDAY, PANEL, panel, sa
 from demandloom.config import LAGS, WINDOW_STATS, WINDOWS, FeatureConfig
 from demandloom.functions import calendar
 from demandloom.operators import features, rollup, scoring
+from demandloom.plans.tables import new_folder
+from demandloom.sources.feature_store import FeatureStore
 
 KEYS = ["store_id"]
 SERIES = "PARTITION BY store_id ORDER BY date"
@@ -140,13 +142,10 @@ def rolling_features(spark, folder):
     return features.rolling_features(panel(spark, folder))
 
 
-@query("rolling_leak_free", f"{ROW} sales_rolling_7_mean:4 sales_rolling_7_max:4",
-       f"""{PANEL} =>
-       SELECT date, store_id, {_rolling_sql((7,), ("mean", "max"), 1)} FROM panel""")
+@query("rolling_leak_free", f"{ROW} " + " ".join(_digits(c) for c in ROLLING_COLUMNS),
+       f"{PANEL} => SELECT date, store_id, {_rolling_sql(shift=1)} FROM panel")
 def rolling_leak_free(spark, folder):
-    return features.rolling_features(
-        panel(spark, folder), windows=(7,), stats=("mean", "max"), shift=1
-    )
+    return features.rolling_features(panel(spark, folder), shift=1)
 
 
 @query("rolling_full_window",
@@ -168,30 +167,28 @@ def rolling_full_window(spark, folder):
     return features.rolling_full_window(panel(spark, folder))
 
 
-BLOCK_CONFIG = FeatureConfig(lags=(1, 7, 30), windows=(7, 30), stats=("mean", "max"))
 BLOCK_SERIES = "PARTITION BY store_id ORDER BY date, product_id"
+BLOCK_COLUMNS = [f"quantity_sold_lag_{k}" for k in LAGS] + [
+    f"quantity_sold_rolling_{w}_{s}" for w in WINDOWS for s in WINDOW_STATS
+]
 
 
-@query("blocked_features",
-       f"{ROW} product_id:s quantity_sold_lag_1:4 quantity_sold_lag_7:4 quantity_sold_lag_30:4"
-       " quantity_sold_rolling_7_mean:4 quantity_sold_rolling_7_max:4"
-       " quantity_sold_rolling_30_mean:4 quantity_sold_rolling_30_max:4",
+@query("blocked_features", f"{ROW} product_id:s " + " ".join(_digits(c) for c in BLOCK_COLUMNS),
        f"""{ROLLUP} =>
-       SELECT date, store_id, product_id, lag(quantity_sold, 1) OVER w AS quantity_sold_lag_1,
-              lag(quantity_sold, 7) OVER w AS quantity_sold_lag_7,
-              lag(quantity_sold, 30) OVER w AS quantity_sold_lag_30,
-              avg(quantity_sold) OVER w7 AS quantity_sold_rolling_7_mean,
-              max(quantity_sold) OVER w7 AS quantity_sold_rolling_7_max,
-              avg(quantity_sold) OVER w30 AS quantity_sold_rolling_30_mean,
-              max(quantity_sold) OVER w30 AS quantity_sold_rolling_30_max
-       FROM daily WINDOW w AS ({BLOCK_SERIES}),
-            w7 AS ({BLOCK_SERIES} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
-            w30 AS ({BLOCK_SERIES} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""")
+       SELECT date, store_id, product_id, """
+       + ", ".join(
+           [f"lag(quantity_sold, {k}) OVER ({BLOCK_SERIES}) AS quantity_sold_lag_{k}" for k in LAGS]
+           + [
+               f"{STAT_SQL[s].replace('sales', 'quantity_sold')} OVER ({BLOCK_SERIES} ROWS BETWEEN {w - 1} PRECEDING"
+               f" AND CURRENT ROW) AS quantity_sold_rolling_{w}_{s}"
+               for w in WINDOWS
+               for s in WINDOW_STATS
+           ]
+       )
+       + " FROM daily")
 def blocked_features(spark, folder):
     rows = rollup.daily_product_rollup(sales(spark, folder))
-    return features.blocked_features(
-        rows, "quantity_sold", KEYS, "date", ["product_id"], BLOCK_CONFIG, block_rows=1000
-    )
+    return features.blocked_features(rows, "quantity_sold", KEYS, "date", ["product_id"], block_rows=1000)
 
 
 @query("trend_features",
@@ -312,6 +309,21 @@ def all_features(spark, folder):
     return features.all_features(panel(spark, folder), config=ALL)
 
 
+@query("incremental_features", f"{ROW} sales:2 " + " ".join(_digits(c) for c in [*LAG_COLUMNS, *ROLLING_COLUMNS]),
+       f"{PANEL} => SELECT date, store_id, sales, {_lags_sql()}, {_rolling_sql()} FROM panel")
+def incremental_features(spark, folder):
+    """The panel in three batches by date, each with features from the tail that the one before left."""
+    rows = panel(spark, folder).select("date", "store_id", "sales")
+    place = new_folder(spark, "feature_store")
+    name = place.rsplit("/", 1)[1].replace("-", "_")
+    store = FeatureStore(spark, name, place, "date date, store_id string, sales double")
+    ends = rows.agg(F.min("date").alias("first"), (F.date_diff(F.max("date"), F.min("date")) + 1).alias("days")).first()
+    part = F.floor(F.date_diff("date", F.lit(ends["first"])) * 3 / F.lit(ends["days"]))
+    for batch in range(3):
+        store.append(rows.where(part == batch), f"batch-{batch}")
+    return store.read()
+
+
 @query("store_numbers", "s_suppkey:i number:i",
        """=> SELECT s_suppkey, s_nationkey AS number FROM supplier""")
 def store_numbers(spark, folder):

@@ -128,13 +128,16 @@ def product_attributes(spark, folder):
     return rollup.lookup_value(priced, products, ["l_partkey"], "p_type")
 
 
-@query("unsold_products", "p_partkey:i",
-       """=> SELECT p_partkey FROM part
-       WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 45)""")
+@query("unsold_products", "p_partkey:i year:i",
+       """years AS (SELECT unnest(range(min(year(l_shipdate)), max(year(l_shipdate)) + 1)) AS year FROM lineitem) =>
+       SELECT p_partkey, y.year FROM part, years y
+       WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND year(l_shipdate) = y.year)""")
 def unsold_products(spark, folder):
-    sold = table(spark, folder, "lineitem").where("l_quantity >= 45")
-    sold = sold.select(F.col("l_partkey").alias("p_partkey"))
-    return rollup.unmatched(table(spark, folder, "part").select("p_partkey"), sold, ["p_partkey"])
+    """Products without any line in a year, for every year of the table."""
+    lines = table(spark, folder, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.year("l_shipdate").alias("year"))
+    years = lines.agg(F.sequence(F.min("year"), F.max("year")).alias("years")).scalar()
+    spine = table(spark, folder, "part").select("p_partkey", F.explode(years).alias("year"))
+    return rollup.unmatched(spine, lines, ["p_partkey", "year"])
 
 
 @query("known_store_rows", "date:d store_id:s sales:2",

@@ -219,4 +219,4 @@ CASE WHEN count(*) < 2 THEN NULL
      ELSE 1 - sum((prediction - actual) ** 2) / (var_pop(actual) * count(*)) END AS r2"""
 
 MODELS = f"""
-models AS (SELECT model, {METRICS_SQL} FROM scored GROUP BY model)"""
+models AS (SELECT model, {METRICS_SQL} FROM scored WHERE prediction IS NOT NULL GROUP BY model)"""

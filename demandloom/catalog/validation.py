@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from demandloom.catalog.registry import query
-from demandloom.catalog.tables import CUBE, PANEL, SALES, contacts, panel, sales, table
+from demandloom.catalog.tables import CUBE, PANEL, SALES, contacts, daily, panel, sales, table
 from demandloom.config import CvConfig, SplitConfig, TableContract
-from demandloom.operators import metrics, prep, quantiles, scoring, split, staffing, validate
+from demandloom.operators import metrics, prep, quantiles, rollup, scoring, split, staffing, validate
+from demandloom.plans.tables import new_folder
+from demandloom.sources import panel as files
 
 MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
@@ -132,12 +134,38 @@ def coerced_columns(spark, folder):
 @query("sales_file_checks",
        "source:s n_rows:i negative_quantity_sold:i negative_revenue:i missing_columns:s",
        f"""{SALES} =>
-       SELECT CAST(year(date) AS VARCHAR) AS source, count(*) AS n_rows,
+       SELECT 'year=' || year(date) || '/week=' || week(date) AS source, count(*) AS n_rows,
               count(*) FILTER (WHERE quantity_sold < 0) AS negative_quantity_sold,
               count(*) FILTER (WHERE revenue < 0) AS negative_revenue, '' AS missing_columns
-       FROM sales GROUP BY 1""")
+       FROM sales GROUP BY 1
+       UNION ALL SELECT 'year=1900/week=1', 0, 0, 0, ''""")
 def sales_file_checks(spark, folder):
-    return validate.file_checks(sales(spark, folder), by=F.year("date").cast("string"))
+    """The sales as files of weeks, with one more file that is empty: a row for every file's place."""
+    place = new_folder(spark, "sales-files")
+    rows = sales(spark, folder)
+    files.write_partitioned(rows, place, layout="week")
+    rows.limit(0).coalesce(1).write.parquet(f"{place}/year=1900/week=1")
+    read = files.read_panel(spark, place)
+    checks = validate.file_checks(read, listing=spark.read.format("binaryFile").load(f"{place}/*/*/*.parquet"))
+    week = F.regexp_extract("source", "(year=[0-9]+/week=[0-9]+)/", 1)
+    sums = [F.sum(c).alias(c) for c in ("n_rows", "negative_quantity_sold", "negative_revenue")]
+    return checks.groupBy(week.alias("source")).agg(*sums, F.max("missing_columns").alias("missing_columns"))
+
+
+@query("written_panel", "date:d store_id:s sales:2", f"{PANEL} => SELECT date, store_id, sales FROM panel")
+def written_panel(spark, folder):
+    """The panel written in directories of weeks and read back through the partition columns."""
+    place = new_folder(spark, "panel-weeks")
+    files.write_partitioned(panel(spark, folder), place, layout="week")
+    return files.read_panel(spark, place, where="year >= 0")
+
+
+@query("written_csv", "date:d sales:2", f"{PANEL} => SELECT date, round(sum(sales), 2) AS sales FROM panel GROUP BY 1")
+def written_csv(spark, folder):
+    """The daily series written as CSV and read back as a forecast history."""
+    place = new_folder(spark, "history-csv")
+    files.write_csv(daily(spark, folder).withColumn("sales", F.round("sales", 2)), place)
+    return files.read_history_csv(spark, place)
 
 
 @query("date_range", "first_date:d last_date:d days:i",
@@ -378,11 +406,18 @@ def regressor_choice(spark, folder):
     return metrics.regressor_choice(table(spark, folder, "lineitem"), MEASURES, top=3)
 
 
+DENSE = NUMBERED.replace(PANEL, f"""{PANEL},
+ends AS (SELECT store_id, min(date) AS a, max(date) AS b FROM panel GROUP BY 1),
+spine AS (SELECT store_id, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date FROM ends),
+dense AS (SELECT s.date, s.store_id, coalesce(sales, 0) AS sales, coalesce(quantity_sold, 0) AS quantity_sold
+          FROM spine s LEFT JOIN panel USING (store_id, date))""").replace("AS n FROM panel)", "AS n FROM dense)")
+
+
 @query("recommendations", "topic:s value:6",
-       f"""{NUMBERED}, stats AS (SELECT split, avg(sales) AS mean FROM parts GROUP BY 1),
+       f"""{DENSE}, stats AS (SELECT split, avg(sales) AS mean FROM parts GROUP BY 1),
        base AS (SELECT mean AS m FROM stats WHERE split = 'train'),
        train AS (SELECT count(*) AS n, count(*) FILTER (WHERE sales = 0) AS zeros,
-                        CAST(abs(corr(quantity_sold, sales)) > 0.95 AS INTEGER) AS leaks
+                        CAST(abs(corr(quantity_sold, sales)) > 0.95 AS INTEGER) + 1 AS leaks
                  FROM parts WHERE split = 'train') =>
        SELECT 'small_training_set' AS topic, n AS value FROM train WHERE n < 1000
        UNION ALL SELECT 'many_zero_targets', zeros FROM train WHERE zeros > n * 0.1
@@ -390,7 +425,12 @@ def regressor_choice(spark, folder):
        UNION ALL SELECT 'distribution_shift_' || split, abs(mean - m) / m FROM stats, base
        WHERE split <> 'train' AND abs(mean - m) / m > 0.2""")
 def recommendations(spark, folder):
-    return metrics.recommendations(parts(spark, folder), ["quantity_sold"])
+    """Days without orders count as days without sales; the net value leaks the target."""
+    rows = panel(spark, folder)
+    spine = rollup.entity_spine(rows, ["store_id"])
+    dense = spine.join(rows, ["store_id", "date"], "left").na.fill(0, ["sales", "quantity_sold"])
+    tagged = split.chronological_split(dense).withColumn("net_sales", F.col("sales") * 0.9)
+    return metrics.recommendations(tagged, ["quantity_sold", "net_sales"])
 
 
 @query("sampled_rows", "o_orderkey:i o_totalprice:2")

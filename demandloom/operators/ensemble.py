@@ -66,14 +66,15 @@ def dynamic_prediction(
 ) -> DataFrame:
     """Weights from the error in the rows around each row: inverse local mean absolute error.
 
-    Where fewer than ``fewest`` rows are near, all members count the same.
+    Where fewer than ``fewest`` errors are near, all members count the same. A member without a
+    prediction has no weight in that row; without any member the prediction is null.
     """
     near = Window.partitionBy(*keys, "model").orderBy(date).rowsBetween(-reach, reach - 1)
     error = F.abs(F.col("prediction") - F.col("actual"))
-    weight = F.when(F.count(F.lit(1)).over(near) < fewest, 1.0).otherwise(
+    weight = F.when(F.count(error).over(near) < fewest, 1.0).otherwise(
         1.0 / (F.avg(error).over(near) + 1e-6)
     )
-    tagged = scored.withColumn("__w", weight)
+    tagged = scored.withColumn("__w", F.when(F.col("prediction").isNotNull(), weight))
     return tagged.groupBy(*keys, date).agg(
         F.max("actual").alias("actual"),
         (F.sum(F.col("__w") * F.col("prediction")) / F.sum("__w")).alias("prediction"),

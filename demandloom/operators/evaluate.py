@@ -109,9 +109,12 @@ def panel_row_naive_scores(
         "step", (F.col("position") - F.col("test_start") + 1).cast("int")
     )
     slotted = test.withColumn("__slot", ((F.col("step") - 1) % season).cast("long"))
-    return slotted.join(pattern, ["fold_id", "__slot"]).select(
+    enough = F.col("train_end") >= season
+    short = F.format_string(f"Need at least {season} observations, got %d", F.col("train_end"))
+    return slotted.join(pattern, ["fold_id", "__slot"], "left").select(
         *keys, F.lit("seasonal_naive").alias("model"), "fold_id", "train_end", "step", date,
-        F.col(target).alias("actual"), "prediction",
+        F.col(target).alias("actual"), F.when(enough, F.col("prediction")).alias("prediction"),
+        F.when(~enough, short).alias("error"),
     )
 
 

@@ -89,8 +89,12 @@ def file_checks(
     sales: DataFrame,
     required: Sequence[str] = ("date", "store_id", "product_id", "quantity_sold", "revenue"),
     by: Column | None = None,
+    listing: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows and sign problems per source file, or per any other ``by`` expression."""
+    """Rows and sign problems per source file, or per any other ``by`` expression.
+
+    With a ``listing`` (column ``path``), listed files without a row count 0 of everything.
+    """
     source = by if by is not None else F.col("_metadata.file_path")
     absent = missing_columns(sales, required)
     grouped = sales.groupBy(source.alias("source")).agg(
@@ -101,6 +105,10 @@ def file_checks(
             if c in sales.columns
         ],
     )
+    if listing is not None:
+        counts = [c for c in grouped.columns if c != "source"]
+        listed = listing.select(F.col("path").alias("source")).join(grouped, "source", "left")
+        grouped = listed.na.fill(0, counts)
     return grouped.withColumn("missing_columns", F.lit(",".join(absent)))
 
 
