@@ -198,7 +198,27 @@ def residual_boxplot(spark, folder):
     return metrics.residual_box(scored(spark, folder))
 
 
-@query("qq_points", "model:s theoretical:6 ordered:4")
+def _ratio_sql(x: str, pair) -> str:
+    return " / ".join("(" + " + ".join(f"{c!r}::DOUBLE * ({x}) ** {i}" for i, c in enumerate(p)) + ")" for p in pair)
+
+
+ROOT_SQL = "sqrt(-ln(least(share, 1 - share)))"
+QUANTILE_SQL = f"""
+CASE WHEN abs(share - 0.5::DOUBLE) <= 0.425::DOUBLE
+     THEN (share - 0.5::DOUBLE) * {_ratio_sql("(0.180625::DOUBLE - (share - 0.5::DOUBLE) ** 2)", metrics.QUANTILE_CENTRE)}
+     WHEN {ROOT_SQL} <= 5
+     THEN sign(share - 0.5::DOUBLE) * {_ratio_sql(f"({ROOT_SQL} - 1.6::DOUBLE)", metrics.QUANTILE_FLANK)}
+     ELSE sign(share - 0.5::DOUBLE) * {_ratio_sql(f"({ROOT_SQL} - 5.0::DOUBLE)", metrics.QUANTILE_TAIL)} END"""
+
+
+@query("qq_points", "model:s theoretical:6 ordered:2",
+       f"""{SCORED}, ranked AS (SELECT model, actual - prediction AS ordered,
+              row_number() OVER (PARTITION BY model ORDER BY actual - prediction) AS i,
+              count(*) OVER (PARTITION BY model) AS n FROM scored),
+       shares AS (SELECT *, CASE WHEN i = n THEN 0.5::DOUBLE ** (1.0::DOUBLE / n)
+              WHEN i = 1 THEN 1 - 0.5::DOUBLE ** (1.0::DOUBLE / n)
+              ELSE (i - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS share FROM ranked) =>
+       SELECT model, {QUANTILE_SQL} AS theoretical, ordered FROM shares""")
 def qq_points(spark, folder):
     return metrics.qq_points(scored(spark, folder))
 

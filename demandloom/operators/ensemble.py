@@ -8,12 +8,15 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.operators.metrics import forecast_metrics
 
+# Fixed value: penalty of the lasso and elastic-net meta-models.
+PENALTY = 0.01
+
 
 def score_weights(validation: DataFrame, floor: float = 0.05) -> DataFrame:
     """Weights from validation R2, each at least ``floor`` before they are made to sum to 1."""
@@ -203,6 +206,34 @@ def blend_weights(
     return scored.sparkSession.createDataFrame(rows, "model string, weight double, n_left_out long")
 
 
+def elastic_net(
+    cov: np.ndarray, cross: np.ndarray, alpha: float, l1_ratio: float, rounds: int = 200_000, tolerance: float = 1e-10
+) -> np.ndarray:
+    """Minimise ``w'cov w / 2 - cross'w + alpha (l1_ratio |w|_1 + (1 - l1_ratio) |w|_2^2 / 2)``.
+
+    With centred second moments per row this is least squares with a penalty on the mean squared
+    error over two. Coordinates are solved in turn until the optimality conditions hold to
+    ``tolerance`` of the largest moment.
+    """
+    l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio)
+    w = np.zeros(len(cross))
+    slope = cross.astype(float).copy()  # cross - cov w
+    curve = np.diag(cov) + l2
+    limit = tolerance * max(float(np.abs(cross).max(initial=0.0)), l1, 1e-300)
+    for _ in range(rounds):
+        for i in np.flatnonzero(curve > 0):
+            pull = slope[i] + cov[i, i] * w[i]
+            new = np.sign(pull) * max(abs(pull) - l1, 0.0) / curve[i]
+            if new != w[i]:
+                slope -= cov[:, i] * (new - w[i])
+                w[i] = new
+        slope = cross - cov @ w
+        left = slope - l2 * w
+        if np.where(w != 0, np.abs(left - l1 * np.sign(w)), np.maximum(np.abs(left) - l1, 0)).max(initial=0.0) <= limit:
+            break
+    return w
+
+
 def stacking_inputs(members: Sequence[str]) -> dict[str, Column]:
     """Member predictions and the difference of every pair."""
     out = {m: F.col(m) for m in members}
@@ -230,19 +261,17 @@ def stacked_prediction(
     lacking = every.where("error IS NOT NULL").select(
         *keys, "actual", F.lit(None).cast("double").alias("prediction"), "error"
     )
-    if meta == "ridge":
+    if meta in ("ridge", "lasso", "elastic"):
         cov, means, cross, n = _gram(fit, list(inputs.values()))
         k = len(inputs)
-        coef = np.linalg.solve(cov[:k, :k] * n + np.eye(k), cross * n)
+        if meta == "ridge":
+            coef = np.linalg.solve(cov[:k, :k] * n + np.eye(k), cross * n)
+        else:
+            coef = elastic_net(cov[:k, :k], cross, PENALTY, 1.0 if meta == "lasso" else 0.5)
         base = float(means[k] - means[:k] @ coef)
         value = sum((c * float(x) for c, x in zip(inputs.values(), coef)), F.lit(base))
         return use.select(*keys, "actual", value.alias("prediction"), "error").unionByName(lacking)
-    if meta in ("lasso", "elastic"):
-        learner = LinearRegression(
-            featuresCol="__x", labelCol="actual", regParam=0.01, standardization=False,
-            elasticNetParam=1.0 if meta == "lasso" else 0.5,
-        )
-    elif meta == "rf":
+    if meta == "rf":
         learner = RandomForestRegressor(
             featuresCol="__x", labelCol="actual", numTrees=100, maxDepth=5, seed=seed
         )

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
-from statistics import NormalDist
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from demandloom.config import METRICS
 from demandloom.operators.quantiles import quartile_bounds
 from demandloom.plans.tables import finite, range_slices, scalar_stats
 
 
-
 def _residual() -> Column:
     return F.col("actual") - F.col("prediction")
 
@@ -162,38 +159,75 @@ def residual_box(scored: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf(T.DoubleType())
-def normal_quantile(share: pd.Series) -> pd.Series:
-    """Inverse of the standard normal distribution function."""
-    return share.map(NormalDist().inv_cdf)
+# Coefficients of the rational approximations of the normal quantile in the published
+# algorithm AS 241 (PPND16), numerator and denominator from the constant upwards.
+QUANTILE_CENTRE = (
+    (3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3, 1.3731693765509461125e4,
+     4.5921953931549871457e4, 6.7265770927008700853e4, 3.3430575583588128105e4, 2.5090809287301226727e3),
+    (1.0, 4.2313330701600911252e1, 6.8718700749205790830e2, 5.3941960214247511077e3,
+     2.1213794301586595867e4, 3.9307895800092710610e4, 2.8729085735721942674e4, 5.2264952788528545610e3),
+)
+QUANTILE_FLANK = (
+    (1.42343711074968357734e0, 4.63033784615654529590e0, 5.76949722146069140550e0, 3.64784832476320460504e0,
+     1.27045825245236838258e0, 2.41780725177450611770e-1, 2.27238449892691845833e-2, 7.74545014278341407640e-4),
+    (1.0, 2.05319162663775882187e0, 1.67638483018380384940e0, 6.89767334985100004550e-1,
+     1.48103976427480074590e-1, 1.51986665636164571966e-2, 5.47593808499534494600e-4, 1.05075007164441684324e-9),
+)
+QUANTILE_TAIL = (
+    (6.65790464350110377720e0, 5.46378491116411436990e0, 1.78482653991729133580e0, 2.96560571828504891230e-1,
+     2.65321895265761230930e-2, 1.24266094738807843860e-3, 2.71155556874348757815e-5, 2.01033439929228813265e-7),
+    (1.0, 5.99832206555887937690e-1, 1.36929880922735805310e-1, 1.48753612908506148525e-2,
+     7.86869131145613259100e-4, 1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15),
+)
+
+
+def _ratio(x: Column, pair: tuple[tuple[float, ...], tuple[float, ...]]) -> Column:
+    top, bottom = (functools.reduce(lambda acc, c: acc * x + c, reversed(p[:-1]), F.lit(p[-1])) for p in pair)
+    return top / bottom
+
+
+def normal_quantile(share: Column) -> Column:
+    """Inverse of the standard normal distribution function; null outside (0, 1)."""
+    q = share - 0.5
+    centre = q * _ratio(F.lit(0.180625) - q * q, QUANTILE_CENTRE)
+    # ln(0) and ln of what is negative are null.
+    r = F.sqrt(-F.ln(F.least(share, 1 - share)))
+    outer = F.when(r <= 5, _ratio(r - 1.6, QUANTILE_FLANK)).otherwise(_ratio(r - 5.0, QUANTILE_TAIL))
+    inside = (share > 0) & (share < 1)
+    return F.when(inside, F.when(F.abs(q) <= 0.425, centre).otherwise(F.signum(q) * outer))
+
+
+#: Equal residuals that one task writes out at a time.
+EQUAL_ROWS = 1_000_000
 
 
 def qq_points(scored: DataFrame) -> DataFrame:
     """Normal quantile-quantile points of the residuals per model: ``theoretical, ordered``.
 
-    Ranks come from range slices, so a model's residuals are never sorted in one task.
+    Residuals are counted per value first. Ranks come from range slices of the values, so neither a
+    model's residuals nor many equal ones are sorted in one task; equal ones take successive ranks.
     """
     data = scored.select("model", _residual().alias("ordered")).where(finite(F.col("ordered")))
-    sliced = range_slices(data, ["model", "ordered"])
-    sizes = sliced.groupBy("model", "__slice").agg(F.count(F.lit(1)).alias("__c"))
+    values = data.groupBy("model", "ordered").agg(F.count(F.lit(1)).alias("__c"))
+    sliced = range_slices(values, ["model", "ordered"])
+    sizes = sliced.groupBy("model", "__slice").agg(F.sum("__c").alias("__s"))
     slices = Window.partitionBy("model").orderBy("__slice")
-    sizes = sizes.withColumns(
-        {
-            "__skip": F.coalesce(
-                F.sum("__c").over(slices.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ),
-            "__n": F.sum("__c").over(Window.partitionBy("model")),
-        }
-    ).drop("__c")
-    inside = Window.partitionBy("model", "__slice").orderBy("__rank")
-    i = F.row_number().over(inside)
-    ranked = sliced.withColumn("__i", i).join(sizes, ["model", "__slice"])
-    rank, n = F.col("__i") + F.col("__skip"), F.col("__n")
+    earlier = F.coalesce(F.sum("__s").over(slices.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(
+        "model", "__slice", earlier.alias("__skip"), F.sum("__s").over(Window.partitionBy("model")).alias("__n")
+    )
+    inside = Window.partitionBy("model", "__slice").orderBy("__rank").rowsBetween(Window.unboundedPreceding, -1)
+    begun = sliced.withColumn("__i", F.coalesce(F.sum("__c").over(inside), F.lit(0))).join(sizes, ["model", "__slice"])
+    last = F.col("__c") - 1
+    parts = begun.withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(EQUAL_ROWS).cast("long"))))
+    upto = F.least(last, F.col("__from") + EQUAL_ROWS - 1)
+    each = parts.hint("rebalance").withColumn("__at", F.explode(F.sequence("__from", upto)))
+    rank, n = F.col("__skip") + F.col("__i") + F.col("__at") + 1, F.col("__n")
     top = F.pow(F.lit(0.5), 1.0 / n)
     share = (
         F.when(rank == n, top).when(rank == 1, 1 - top).otherwise((rank - 0.3175) / (n + 0.365))
     )
-    return ranked.select("model", normal_quantile(share).alias("theoretical"), "ordered")
+    return each.select("model", normal_quantile(share).alias("theoretical"), "ordered")
 
 
 def split_shift(parts: DataFrame, target: str = "sales", limit: float = 0.2) -> DataFrame:
