@@ -124,14 +124,34 @@ def bitmap(one: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def node_of(digest_: bytes) -> int:
+    """The number of a node: the first 60 bits of its set's digest."""
+    return int.from_bytes(digest_[:8], "big") >> 4
+
+
+def node_number(digests: Column) -> Column:
+    """``node_of`` as an expression: 60 bits are 15 hex digits."""
+    return F.conv(F.substring(F.hex(digests), 1, 15), 16, 10).cast("long")
+
+
+def short_keys(total_bytes: int) -> int:
+    """Bits to drop from tokens when they are counted: some 2**13 keys are left for each byte of text.
+
+    Tokens that fall together count as one, which makes them seem more frequent, never less. That
+    keeps the order and the classes the same for all sets and the join exact.
+    """
+    return max(0, 64 - 13 - max(1, total_bytes).bit_length())
+
+
 def signed(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, n, common, bits, sigs, tokens`` for each node that has a signature another might have.
 
-    ``common`` counts the tokens that are in other nodes too. ``nodes`` are ``doc_id, digest`` of one document per distinct set. Frequencies are counted over
-    the nodes' sets.
+    ``common`` counts the tokens that are in other nodes too. ``nodes`` are ``doc_id, digest`` of one
+    document per distinct set. Frequencies are counted over the nodes' sets.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     blocks, parts = kc.sizes(rows)
+    drop = _U64(short_keys(blocks * kc.BLOCK_BYTES))
     dealt = rows.select(kc.block_of(blocks), "doc_id", "text")
     notes = nodes.select(
         kc.block_of(blocks), F.lit(-1).alias("part"), F.lit(None).cast("binary").alias("counts"), "doc_id", "digest"
@@ -139,39 +159,39 @@ def signed(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def own_sets(table: pa.Table, notes: pa.Table) -> dict[int, np.ndarray]:
         chosen = notes.filter(pc.equal(notes.column("part"), -1))
-        wanted = dict(zip(chosen.column("doc_id").to_pylist(), chosen.column("digest").to_pylist()))
-        table = table.filter(pc.is_in(table.column("doc_id"), pa.array(list(wanted), pa.int64())))
+        wanted = set(zip(chosen.column("doc_id").to_pylist(), chosen.column("digest").to_pylist()))
+        table = table.filter(pc.is_in(table.column("doc_id"), chosen.column("doc_id").combine_chunks()))
         out: dict[int, np.ndarray] = {}
         if table.num_rows:
-            names = table.column("doc_id").to_pylist()
-            done = 0
+            names = iter(table.column("doc_id").to_pylist())
             for _, texts in tokens.text_slices(table.column("text")):
-                for one in shingle_sets(texts):
-                    name = names[done]
-                    done += 1
-                    if len(one) and digest(one) == wanted[name]:
-                        out[name] = one
+                for one, name in zip(shingle_sets(texts), names):
+                    found = digest(one) if len(one) else None
+                    if (name, found) in wanted:
+                        out[node_of(found)] = one
         return dict(sorted(out.items()))
 
+    def counted(sets: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(np.concatenate([np.unique(one >> drop) for one in sets.values()]) << drop, return_counts=True)
+
     def emit(table: pa.Table, notes: pa.Table) -> pa.Table:
         sets = own_sets(table, notes)
         if not sets:
-            return kc.sent(0, np.zeros(0, _U64), np.zeros(0, np.int64), parts)
-        keys, counts = np.unique(np.concatenate(list(sets.values())), return_counts=True)
-        return kc.sent(table.column("block")[0].as_py(), keys, counts, parts)
+            return kc.sent(0, np.zeros(0, _U64), np.zeros(0, np.int64), parts, drop)
+        return kc.sent(table.column("block")[0].as_py(), *counted(sets), parts, drop)
 
     by_block = dealt.groupBy("block")
     emitted = by_block.cogroup(notes.groupBy("block")).applyInArrow(emit, kc.SENT)
-    answers = written(kc.totals(emitted), "shingle-counts")
+    answers = written(kc.totals(emitted, drop=drop), "shingle-counts")
 
     def sign(table: pa.Table, notes: pa.Table) -> pa.Table:
         sets = own_sets(table, notes)
         names, sizes, common, bits, sigs, kept = [], [], [], [], [], []
         if sets:
-            keys = np.unique(np.concatenate(list(sets.values())))
+            keys, _ = counted(sets)
             df = kc.answered(notes.filter(pc.greater_equal(notes.column("part"), 0)))
             for name, one in sets.items():
-                times = df[np.searchsorted(keys, one)].astype(np.int64)
+                times = df[np.searchsorted(keys, one >> drop << drop)].astype(np.int64)
                 own = signatures(one, times)
                 if len(own):
                     names.append(name)
@@ -285,15 +305,19 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+#: Signatures of at most so many nodes compare all their pairs; larger ones go through bundles.
+FEW = 32
+#: Tokens of a block of a bundle's nodes.
+BLOCK_TOKENS = 1_000_000
+
+
 def linked(sets: DataFrame) -> DataFrame:
     """``node, component`` of all nodes of ``sets``: ``node, n, common, bits, sigs, tokens``.
 
-    A signature's nodes are not all paired. The one with most common tokens leads first and is
-    compared with all others. The rest have places by hash, as many as there are nodes; in each
-    round those of the next places lead and are compared with those of later places that are not
-    yet in the same component. The places of a round grow by rounds. A signature is done when its
-    nodes are in one component or all have led. So a group of near copies costs its size, no pair
-    that could join two components is left out, and no task ranks or gathers a group.
+    First the node with most common tokens of each signature is compared with all others, which
+    unites groups of near copies at the cost of their size. Nodes of small signatures that are still
+    apart are then compared in pairs, those of large ones in bundles. A signature whose nodes are in
+    one component needs nothing more, so no pair that could join two components is left out.
     """
     posts = sets.select("node", "n", "common", F.explode("sigs").alias("sig"))
     shared = posts.groupBy("sig").agg(
@@ -312,64 +336,109 @@ def linked(sets: DataFrame) -> DataFrame:
     )
     alone = sets.select("node", F.col("node").alias("component"))
     labels = merged(alone, written(verified(pairs, sets), "verified"))
-    others = F.col("members") - 1
-    placed = posts.where("node <> lead").withColumn("place", F.pmod(F.xxhash64("sig", "node"), others))
-    led, step = 0, 8
-    while True:
-        known = placed.where(others > led).join(labels, "node")
-        mixed = known.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        open_ = written(mixed.where("low <> high").select("sig"), "open-signatures")
-        if not open_.limit(1).count():
-            return labels
-        left = written(
-            known.join(open_, "sig", "left_semi")
-            .select("sig", "place", "node", "n", "common", "component")
-            .join(sets.select("node", "bits"), "node"),
-            "open-postings",
-        )
-        leaders = left.where(F.col("place").between(led, led + step - 1)).select(
-            "sig",
-            F.col("place").alias("ap"),
-            F.col("node").alias("a"),
-            F.col("n").alias("an"),
-            F.col("common").alias("as"),
-            F.col("bits").alias("ab"),
-            F.col("component").alias("ac"),
-        )
-        later = F.struct("place", "node") > F.struct("ap", "a")
-        pairs = (
-            left.join(leaders, "sig")
-            .where(later & (F.col("component") != F.col("ac")))
-            .where(may_link(F.col("n"), F.col("common"), F.col("an"), F.col("as")))
-            .where(bits_allow(F.col("n"), F.col("bits"), F.col("an"), F.col("ab")))
-            .select("a", F.col("node").alias("b"))
-            .distinct()
-        )
-        more = written(verified(pairs, sets), "verified")
-        if more.limit(1).count():
-            labels = merged(labels, more)
-        led, step = led + step, step * 8
+    labels = merged(labels, written(verified(few_pairs(posts, sets, labels), sets), "verified"))
+    return merged(labels, written(bundle_links(posts, sets, labels), "bundle-links"))
+
+
+def still_apart(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    """The postings, with ``component``, of signatures whose nodes are in several components."""
+    known = posts.join(labels, "node")
+    mixed = known.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return known.join(mixed.where("low <> high").select("sig"), "sig", "left_semi")
+
+
+def few_pairs(posts: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of different components that share a signature of at most ``FEW`` nodes."""
+    left = still_apart(posts.where(F.col("members") <= FEW), labels)
+    left = written(left.select("sig", "node", "n", "common", "component").join(sets.select("node", "bits"), "node"), "open-postings")
+    names = {"node": "a", "n": "an", "common": "as", "bits": "ab", "component": "ac"}
+    first = left.withColumnsRenamed(names)
+    return (
+        left.join(first, "sig")
+        .where((F.col("node") > F.col("a")) & (F.col("component") != F.col("ac")))
+        .where(may_link(F.col("n"), F.col("common"), F.col("an"), F.col("as")))
+        .where(bits_allow(F.col("n"), F.col("bits"), F.col("an"), F.col("ab")))
+        .select("a", F.col("node").alias("b"))
+        .distinct()
+    )
+
+
+def bundle_links(posts: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links ``a, b`` between components that share a signature of more than ``FEW`` nodes.
+
+    Near copies share most of their signatures, so the signatures that are still apart are joined to
+    bundles, and two nodes meet once in a bundle instead of once for each signature. All nodes of a
+    bundle's largest component are one already: only the others are compared with the rest, in
+    blocks of bounded tokens, by counting common tokens over an index of the block. Links alone come out.
+    """
+    apart = still_apart(posts.where(F.col("members") > FEW), labels)
+    apart = written(apart.select("sig", "lead", "node", "component").distinct(), "open-large")
+    edges = apart.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    bundles = components(edges).withColumnRenamed("component", "bundle")
+    nodes = bundles.join(labels, "node").join(sets.select("node", "n"), "node")
+    nodes = written(nodes, "bundled")
+    sizes = nodes.groupBy("bundle", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("t"))
+    totals = sizes.groupBy("bundle").agg(
+        F.max(F.struct("m", "component"))["component"].alias("home"), F.sum("t").alias("all_tokens"), F.max_by("t", F.struct("m", "component")).alias("home_tokens")
+    )
+    blocks = lambda t: 1 + F.floor(t / BLOCK_TOKENS).cast("int")
+    totals = totals.select(
+        "bundle", "home", blocks(F.col("all_tokens")).alias("nb"), blocks(F.col("all_tokens") - F.col("home_tokens")).alias("ob")
+    )
+    placed = nodes.join(totals, "bundle").join(sets.select("node", "tokens"), "node")
+    up_to = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    deal = lambda c, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(c)).cast("int")
+    rest = placed.where(F.col("component") != F.col("home"))
+    keys, names = ["bundle", "o", "e"], ["bundle", "o", "e", "node", "component", "tokens"]
+    # Both sides come from one table, so one of them gets columns of its own.
+    rest = rest.withColumns({"o": deal("ob", 1), "e": up_to("nb")}).select(*[F.col(c).alias(c) for c in names])
+    every = placed.withColumns({"e": deal("nb", 2), "o": up_to("ob")}).select(*names)
+    return rest.groupBy(*keys).cogroup(every.groupBy(*keys)).applyInArrow(_block_links, "a long, b long")
+
+
+def _block_links(rest: pa.Table, every: pa.Table) -> pa.Table:
+    """Links of two blocks of nodes, between different components."""
+    found: list[tuple[int, int]] = []
+    if rest.num_rows and every.num_rows:
+        own = [np.frombuffer(t, _U64) for t in rest.column("tokens").to_pylist()]
+        node, component = (np.asarray(rest.column(c)) for c in ("node", "component"))
+        size = np.array([len(t) for t in own])
+        flat = np.concatenate(own)
+        order = np.argsort(flat, kind="stable")
+        holder = np.repeat(np.arange(len(own)), size)[order]
+        words, starts = np.unique(flat[order], return_index=True)
+        ends = np.append(starts[1:], len(flat))
+        for b, c, t in zip(*(every.column(x).to_pylist() for x in ("node", "component", "tokens"))):
+            one = np.frombuffer(t, _U64)
+            at = np.minimum(np.searchsorted(words, one), len(words) - 1)
+            at = at[words[at] == one]
+            both = np.bincount(holder[tokens.ragged(starts[at], ends[at] - starts[at])], minlength=len(own))
+            near = (100 + PERCENT) * both >= PERCENT * (size + len(one))
+            found += [(int(a), b) for a in node[near & (component != c)]]
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs`` (``doc_id, text``).
 
     Null and blank texts have the empty set and link with nothing: their component is themselves.
-    Rows with one doc_id are one document, which links as any of its rows does. A null doc_id has
-    a null component unless its set is shared. An empty table gives no rows.
+    Rows of one doc_id with different texts link each by its own text. A null doc_id has a null
+    component unless its component has a doc_id. An empty table gives no rows.
     """
     rows = written(described(docs), "shingle-sets")
     groups = written(
         rows.where(F.col("digest").isNotNull())
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")),
+        .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")),
         "set-groups",
     )
-    nodes = groups.where(F.col("node").isNotNull()).select(F.col("node").alias("doc_id"), "digest")
+    nodes = groups.where(F.col("first_id").isNotNull()).select(F.col("first_id").alias("doc_id"), "digest")
     labels = linked(signed(docs, nodes))
+    named = groups.withColumn("node", node_number(F.col("digest"))).join(labels, "node", "left")
+    least = named.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("first_id").alias("component_id"))
     classes = written(
-        groups.join(labels, "node", "left").select(
-            "digest", "copies", F.coalesce("component", "node").alias("component_id")
+        named.join(least, "component", "left").select(
+            "digest", "copies", F.coalesce("component_id", "first_id").alias("component_id")
         ),
         "set-components",
     )

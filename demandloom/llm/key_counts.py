@@ -61,8 +61,21 @@ def from_bytes(data: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-def sent(block: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> pa.Table:
-    """A block's rows: for each part its sorted keys as differences, and their counts."""
+def _sorted_bytes(keys: np.ndarray) -> bytes:
+    """Sorted numbers: the first one in full, then the differences at their least width."""
+    return keys[:1].tobytes() + to_bytes(np.diff(keys))
+
+
+def _sorted_numbers(data: bytes) -> np.ndarray:
+    first = np.frombuffer(data, np.uint64, count=1)
+    return np.cumsum(np.concatenate([first, from_bytes(data[8:])]), dtype=np.uint64)
+
+
+def sent(block: int, keys: np.ndarray, counts: np.ndarray, parts: int, drop: np.uint64 = np.uint64(0)) -> pa.Table:
+    """A block's rows: for each part its sorted keys as differences, and their counts.
+
+    The lowest ``drop`` bits of all keys are 0 and are not sent.
+    """
     bounds = part_bounds(keys, parts)
     used = np.flatnonzero(np.diff(bounds))
     cuts = [(bounds[p], bounds[p + 1]) for p in used]
@@ -70,7 +83,7 @@ def sent(block: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> pa.Tab
         {
             "block": pa.array(np.full(len(used), block), pa.int32()),
             "part": pa.array(used, pa.int32()),
-            "keys": pa.array([to_bytes(np.diff(keys[a:b], prepend=np.uint64(0))) for a, b in cuts], pa.binary()),
+            "keys": pa.array([_sorted_bytes(keys[a:b] >> drop) for a, b in cuts], pa.binary()),
             "counts": pa.array([to_bytes(counts[a:b]) for a, b in cuts], pa.binary()),
         }
     )
@@ -80,12 +93,14 @@ SENT = "block int, part int, keys binary, counts binary"
 
 
 def totals(
-    emitted: DataFrame, statistics: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
+    emitted: DataFrame,
+    statistics: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+    drop: np.uint64 = np.uint64(0),
 ) -> DataFrame:
     """Answers to the blocks, and with ``statistics(keys, totals)`` one row of sums per part."""
 
     def add(table: pa.Table) -> pa.Table:
-        keys = [np.cumsum(from_bytes(k), dtype=np.uint64) for k in table.column("keys").to_pylist()]
+        keys = [_sorted_numbers(k) << drop for k in table.column("keys").to_pylist()]
         lengths = [len(k) for k in keys]
         flat = np.concatenate(keys)
         count = np.concatenate([from_bytes(c) for c in table.column("counts").to_pylist()])

@@ -314,7 +314,7 @@ def test_bytes_and_parts_of_keys_round_trip():
     keys = np.unique(np.random.default_rng(3).integers(0, 2**64, 1000, dtype=np.uint64))
     assert np.array_equal(key_counts.from_bytes(key_counts.to_bytes(keys)), keys)
     table = key_counts.sent(7, keys, np.ones(len(keys), np.int64), 13)
-    back = [np.cumsum(key_counts.from_bytes(k), dtype=np.uint64) for k in table.column("keys").to_pylist()]
+    back = [key_counts._sorted_numbers(k) for k in table.column("keys").to_pylist()]
     assert np.array_equal(np.concatenate(back), keys)
 
 
@@ -420,3 +420,47 @@ def test_pipeline_stages(spark, folder):
         assert docs.columns == columns and docs.count()
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
     assert packed.agg(F.sum("length")).first()[0] > 0
+
+
+def near_threshold_groups(copies: int, seed: int = 5):
+    """Groups of edited copies whose similarities lie on both sides of 0.8, and one id under two texts."""
+    pick, rows = random.Random(seed), []
+    for group in range(3):
+        words = prose(100 + group, 60).split()
+        for _ in range(copies):
+            mine = list(words)
+            for at in pick.sample(range(60), pick.choice([0, 1, 1, 2, 2, 3])):
+                mine[at] = "x" + str(pick.randrange(10**6))
+            rows.append((len(rows), " ".join(mine)))
+    base = prose(900, 40)
+    other = prose(901, 40)
+    return [*rows, (900, base), (900, other), (901, base + " tail"), (902, other + " tail")]
+
+
+@pytest.mark.parametrize("copies", [20, 60])
+def test_large_signatures_lose_no_link(spark, monkeypatch, copies):
+    monkeypatch.setattr(jaccard_join, "FEW", 8)
+    rows = near_threshold_groups(copies)
+    sets = []
+    for _, text in rows:
+        words = text.split()
+        sets.append({tuple(words[i : i + 5]) for i in range(len(words) - 4)})
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                parent[root(a)] = root(b)
+    least = defaultdict(lambda: 10**9)
+    for i, (doc_id, _) in enumerate(rows):
+        least[root(i)] = min(least[root(i)], doc_id)
+    want = Counter((doc_id, len(sets[i]), least[root(i)]) for i, (doc_id, _) in enumerate(rows))
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(tuple(r) for r in got) == want
+    assert len(set(least.values())) > 3
