@@ -35,19 +35,40 @@ _CHUNKS = (
 )
 
 
+def _packed(values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of 128 numbers below 2^width as bytes, lowest bits first.
+
+    A number begins in one 32-bit word and may end in the next, so a word is the sum of the low
+    halves that begin in it and of the high half that reaches it.
+    """
+    at = np.arange(BLOCK) * width
+    shifted = values.astype(np.uint64) << (at & 31).astype(np.uint64)
+    begins = np.searchsorted(at >> 5, np.arange(BLOCK // 32 * width))
+    words = np.add.reduceat(shifted & np.uint64(0xFFFFFFFF), begins, axis=1)
+    words[:, 1:] += np.add.reduceat(shifted >> np.uint64(32), begins, axis=1)[:, :-1]
+    return words.astype("<u4").view(np.uint8).reshape(len(values), -1)
+
+
+def _unpacked(packed: np.ndarray, width: int) -> np.ndarray:
+    words = np.ascontiguousarray(packed).view("<u4").astype(np.uint64)
+    words = words | np.pad(words[:, 1:], ((0, 0), (0, 1))) << np.uint64(32)
+    at = np.arange(BLOCK) * width
+    return (words[:, at >> 5] >> (at & 31).astype(np.uint64) & np.uint64((1 << width) - 1)).astype(np.int64)
+
+
 def pack_ids(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
     """``block_starts`` and ``payload`` of ids below 2^32."""
     if not len(ids):
         return np.zeros(0, np.int64), b""
     blocks = -(-len(ids) // BLOCK)
-    table = np.full(blocks * BLOCK, ids[-1], np.int64)
+    table = np.full(blocks * BLOCK, ids[-1], np.uint32)
     table[: len(ids)] = ids
     table = table.reshape(blocks, BLOCK)
     low = table.min(axis=1)
     over = table - low[:, None]
-    chosen = np.partition(over, int(PERCENTILE * BLOCK) - 1, axis=1)[:, int(PERCENTILE * BLOCK) - 1]
+    chosen = np.partition(over, int(PERCENTILE * BLOCK) - 1, axis=1)[:, int(PERCENTILE * BLOCK) - 1].astype(np.int64)
     width = np.where(chosen > 0, np.floor(np.log2(np.maximum(chosen, 1))).astype(np.int64) + 1, 0)
-    outlier = over >> width[:, None] > 0
+    outlier = over > ((1 << width) - 1).astype(np.uint32)[:, None]
     exceptions = outlier.sum(axis=1)
     sizes = HEADER + BLOCK // 8 * width + 5 * exceptions
     starts = np.cumsum(sizes) - sizes
@@ -57,8 +78,7 @@ def pack_ids(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
     out[starts + 5] = exceptions
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
-        bits = (over[rows][:, :, None] >> np.arange(w)) & 1
-        packed = np.packbits(bits.astype(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
+        packed = _packed(over[rows] & np.uint32((1 << int(w)) - 1), int(w))
         out[starts[rows][:, None] + HEADER + np.arange(packed.shape[1])] = packed
     block, place = np.nonzero(outlier)
     if len(block):
@@ -83,8 +103,7 @@ def unpack_ids(starts: np.ndarray, payload: bytes, number: int) -> np.ndarray:
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
         packed = raw[starts[rows][:, None] + HEADER + np.arange(BLOCK // 8 * w)]
-        bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-        table[rows] = bits @ (1 << np.arange(w, dtype=np.int64))
+        table[rows] = _unpacked(packed, int(w))
     if exceptions.any():
         block = np.repeat(np.arange(len(starts)), exceptions)
         nth = tokens.ragged(np.zeros(len(starts), np.int64), exceptions)
