@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from demandloom.llm import jaccard_join, line_dedup, mixing, packing, quality_rules
-from demandloom.llm.store import written
+from demandloom.llm.store import tidily_written as written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

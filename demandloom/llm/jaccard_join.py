@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from demandloom.llm import key_counts as kc
 from demandloom.llm import tokens
 from demandloom.llm.lm_score import word_keys
-from demandloom.llm.store import split_lookup, written
+from demandloom.llm.store import split_lookup
+from demandloom.llm.store import tidily_written as written
 
 WORDS = 5
 #: Linked if PERCENT_OF * intersection >= PERCENT * union.
@@ -434,10 +435,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     nodes = groups.where(F.col("first_id").isNotNull()).select(F.col("first_id").alias("doc_id"), "digest")
     labels = linked(signed(docs, nodes))
-    named = groups.withColumn("node", node_number(F.col("digest"))).join(labels, "node", "left")
-    least = named.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("first_id").alias("component_id"))
+    named = written(groups.withColumn("node", node_number(F.col("digest"))).join(labels, "node", "left"), "named-sets")
+    least = named.where(F.col("component").isNotNull()).groupBy("component").agg(
+        F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("members")
+    )
     classes = written(
-        named.join(least, "component", "left").select(
+        split_lookup(named, written(least, "least-ids"), "component", "members", "left").select(
             "digest", "copies", F.coalesce("component_id", "first_id").alias("component_id")
         ),
         "set-components",

@@ -44,6 +44,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Spark removes the shuffle files of a query once it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def tidily_written(df: DataFrame, name: str) -> DataFrame:
+    """:func:`written`, after which the shuffle files behind ``df`` are gone.
+
+    What has been written needs them no more. Without this they stay until the driver collects its
+    garbage, and the steps of a long operator add up on disk.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return written(df, name)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def lookup(
     rows: DataFrame, small: DataFrame, key: str, broadcast_rows: int = 200_000, salts: int = 64
 ) -> DataFrame:
