@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,18 +19,59 @@ def workload(volume: Column, handle_time: Column, interval_seconds: int = 3600)
     return volume * handle_time / F.lit(float(interval_seconds))
 
 
+#: Gauss-Legendre points per integral; the integrand is close to a Gaussian, so 32 leave about 1e-11.
+POINTS = 32
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _inverse_blocking(agents: Column, load: Column) -> tuple[Column, Column]:
+    """``(s, i)`` with ``1 / blocking = exp(s) i``, for more agents than load and load above 0.
+
+    The inverse is the integral of ``(v / load)^agents exp(load - v)`` over ``v >= load``. Its
+    logarithm peaks at ``v = agents``, where ``s`` is taken out, and falls by more than 36 within
+    the limits below. The work is the same for any number of agents, and nothing overflows.
+    """
+    low = F.greatest(load, agents - 9 * F.sqrt(agents)) - agents
+    high = 12 + F.sqrt(144 + 72 * agents)
+    knots, weights = np.polynomial.legendre.leggauss(POINTS)
+    points = F.array(
+        *[F.struct(F.lit(float(1 + x)).alias("x"), F.lit(float(w)).alias("w")) for x, w in zip(knots, weights)]
+    )
+
+    def integral(span: Column) -> Column:
+        def add(total: Column, point: Column) -> Column:
+            height = _bound(
+                span["low"] + span["half"] * point["x"],
+                lambda beyond: F.exp(span["n"] * F.log1p(beyond / span["n"]) - beyond),
+            )
+            return total + point["w"] * height
+
+        return span["half"] * F.aggregate(points, F.lit(0.0), add)
+
+    peak = agents * F.log1p((agents - load) / load) - (agents - load)
+    span = F.struct(low.alias("low"), ((high - low) / 2).alias("half"), agents.alias("n"))
+    return peak, _bound(span, integral)
+
+
 def wait_probability(agents: Column, load: Column, formula: str = "blocking") -> Column:
     """Probability that a contact waits, for ``agents`` on an offered ``load``.
 
-    The blocking term is built as ``1 / I`` with ``I[n] = 1 + I[n-1] n / load``, which neither
-    overflows nor cancels. 1 where the agents do not exceed the load.
+    1 where the agents do not exceed the load, 0 without load; null where one of both is null.
     """
-    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), agents.cast("int")))
-    inverse = F.aggregate(steps, F.lit(1.0), lambda acc, n: 1 + acc * n / load)
-    blocked = 1 / inverse
+    n = agents.cast("double")
+    peak, integral = _inverse_blocking(n, load)
+    blocked = F.exp(-peak) / integral
     if formula == "erlang_c":
-        blocked = agents * blocked / (agents - load * (1 - blocked))
-    return F.when((agents <= 0) | (agents <= load), 1.0).when(load == 0, 0.0).otherwise(blocked)
+        blocked = 1 / (1 + (n - load) / n * (F.exp(peak) * integral - 1))
+    return (
+        F.when((n <= 0) | (n <= load), 1.0)
+        .when(load == 0, 0.0)
+        .when(n.isNotNull() & load.isNotNull(), F.least(F.lit(1.0), blocked))
+    )
 
 
 def service_level(
@@ -40,12 +81,14 @@ def service_level(
     answer_time_seconds: float = 20.0,
     formula: str = "blocking",
 ) -> Column:
-    """Share of contacts answered in time, within [0, 1]."""
+    """Share of contacts answered in time, within [0, 1]; null where an input is null."""
     decay = F.exp(
         -(agents - load) * answer_time_seconds / F.greatest(handle_time, F.lit(1e-6))
     )
     level = 1 - wait_probability(agents, load, formula) * decay
-    return F.when(agents <= 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), level)))
+    known = agents.isNotNull() & load.isNotNull() & handle_time.isNotNull()
+    bounded = F.greatest(F.lit(0.0), F.least(F.lit(1.0), level))
+    return F.when(agents <= 0, 0.0).when(known, bounded)
 
 
 def with_shrinkage(productive: Column, shrinkage: float) -> Column:
@@ -54,51 +97,38 @@ def with_shrinkage(productive: Column, shrinkage: float) -> Column:
     return productive / F.lit(1.0 - shrinkage)
 
 
-def solve_agents(load: np.ndarray, handle_time: np.ndarray, cfg: StaffingAssumptions) -> pd.DataFrame:
-    """Agents meeting the service level and the occupancy ceiling, and the level reached.
+def agents_for_level(load: Column, handle_time: Column, cfg: StaffingAssumptions = DEFAULTS) -> Column:
+    """Fewest agents above the load that meet the service level, or ``cfg.max_agents`` if fewer.
 
-    One loop over the agent count serves all rows of a batch; a row drops out once answered.
+    The level grows with the agents, so halving finds them. The bracket ends where the waiting
+    time alone, or the blocking term alone (below 1e-25), meets any target, whichever is nearer:
+    its width grows with the root of the load at most. Null for a load that is null, not above 0
+    or not finite.
     """
-    aht = np.where(handle_time > 0, handle_time, 1.0)
-    floor = np.ceil(load / cfg.occupancy_target)
-    start = np.maximum(1, np.ceil(load) + 1)
-    agents = np.full(len(load), np.nan)
-    level = np.full(len(load), np.nan)
-    active = np.flatnonzero(np.isfinite(load) & (load > 0) & np.isfinite(aht))
-    inverse = np.ones(len(load))
-    n = 0
-    while active.size:
-        n += 1
-        a = load[active]
-        inverse[active] = 1 + inverse[active] * n / a
-        blocked = 1 / inverse[active]
-        if cfg.formula == "erlang_c":
-            with np.errstate(divide="ignore", invalid="ignore"):
-                blocked = n * blocked / (n - a * (1 - blocked))
-        blocked = np.where(n <= a, 1.0, blocked)
-        with np.errstate(over="ignore"):
-            reached = 1 - blocked * np.exp(-(n - a) * cfg.answer_time_seconds / aht[active])
-        reached = np.clip(reached, 0.0, 1.0)
-        met = (n >= start[active]) & (reached >= cfg.service_level_target)
-        stop = met | (n >= cfg.max_agents)
-        fresh = stop & np.isnan(agents[active])
-        agents[active[fresh]] = n if n <= cfg.max_agents else cfg.max_agents
-        productive = np.maximum(agents[active], floor[active])
-        done = ~np.isnan(productive) & (n >= productive)
-        level[active[done]] = reached[done]
-        active = active[~done]
-    return pd.DataFrame({"productive": np.fmax(agents, floor), "level": level})
-
-
-def agent_solver(cfg: StaffingAssumptions):
-    """Arrow UDF ``(load, handle_time) -> struct<productive, level>``."""
-
-    @F.pandas_udf("productive double, level double")
-    def solve(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for load, aht in batches:
-            yield solve_agents(load.to_numpy(dtype=float), aht.to_numpy(dtype=float), cfg)
-
-    return solve
+    first = F.greatest(F.lit(1.0), F.ceil(load).cast("double") + 1)
+    last = load + 61 + F.sqrt(3600 + 120 * load)
+    if cfg.answer_time_seconds > 0 and cfg.service_level_target < 1:
+        patience = -math.log(1 - cfg.service_level_target) / cfg.answer_time_seconds
+        last = F.least(last, load + handle_time * patience)
+    last = F.greatest(first, F.ceil(last).cast("double") + 1)
+
+    def halve(bracket: Column, _: Column) -> Column:
+        middle = F.floor((bracket["low"] + bracket["high"]) / 2).cast("double")
+
+        def half(n: Column) -> Column:
+            level = service_level(n, load, handle_time, cfg.answer_time_seconds, cfg.formula)
+            return F.when(
+                level >= cfg.service_level_target,
+                F.struct(bracket["low"].alias("low"), n.alias("high")),
+            ).otherwise(F.struct((n + 1).alias("low"), bracket["high"].alias("high")))
+
+        return F.when(bracket["low"] >= bracket["high"], bracket).otherwise(_bound(middle, half))
+
+    halvings = F.sequence(F.lit(0), F.ceil(F.log2(last - first + 1)).cast("int"))
+    start = F.struct(first.alias("low"), last.alias("high"))
+    found = F.aggregate(halvings, start, halve, lambda bracket: bracket["high"])
+    usable = (load > 0) & (load < F.lit(float("inf")))
+    return F.when(usable, F.least(found, F.lit(float(cfg.max_agents))))
 
 
 def staffing_plan(
@@ -109,7 +139,8 @@ def staffing_plan(
 ) -> DataFrame:
     """Append workload, agents, occupancy, service level and the settings used.
 
-    Negative volumes and handle times count as 0.
+    Negative volumes and handle times count as 0. A workload that is not finite has no plan: null
+    agents.
     """
     for column in (volume, handle_time):
         if column not in demand.columns:
@@ -124,10 +155,15 @@ def staffing_plan(
         productive = F.ceil(F.col("workload") / cfg.occupancy_target).cast("double")
         level = F.when(idle, empty)
     else:
-        solved = agent_solver(cfg)(F.col("workload"), aht)
-        out = out.withColumn("__solved", solved)
-        productive, level = F.col("__solved.productive"), F.col("__solved.level")
-        level = F.when(idle, empty).otherwise(level)
+        floor = F.ceil(F.col("workload") / cfg.occupancy_target).cast("double")
+        productive = F.when(
+            F.col("workload") < F.lit(float("inf")),
+            F.greatest(agents_for_level(F.col("workload"), aht, cfg), floor),
+        )
+        reached = service_level(
+            F.col("productive_agents"), F.col("workload"), aht, cfg.answer_time_seconds, cfg.formula
+        )
+        level = F.when(idle, empty).otherwise(reached)
     out = out.withColumn("productive_agents", F.when(idle, 0.0).otherwise(productive))
     busy = F.col("productive_agents") > 0
     return out.withColumns(
@@ -141,7 +177,7 @@ def staffing_plan(
             "shrinkage": F.lit(cfg.shrinkage),
             "occupancy_target": F.lit(cfg.occupancy_target),
         }
-    ).drop("__solved")
+    )
 
 
 def weighted_handle_time(

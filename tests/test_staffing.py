@@ -1,6 +1,5 @@
 import math
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,15 +81,62 @@ def test_missing_values_count_as_zero(spark):
         staffing.staffing_plan(df.drop("volume"))
 
 
-def test_solver_meets_target_and_not_with_one_less():
+def test_solver_meets_target_and_not_with_one_less(spark):
     cfg = StaffingAssumptions(occupancy_target=1.0)
-    load = np.array([0.5, 3.3, 17.2, 60.0])
-    out = staffing.solve_agents(load, np.full(4, 240.0), cfg)
-    assert (out["level"] >= 0.8).all()
-    for a, n in zip(load, out["productive"]):
-        n = int(n)
+    df = spark.createDataFrame([(a,) for a in (0.5, 3.3, 17.2, 60.0)], "a double")
+    rows = df.select("a", staffing.agents_for_level(F.col("a"), F.lit(240.0), cfg).alias("n")).collect()
+    for a, n in rows:
+        assert level(int(n), a, 240.0, 20.0, blocked) >= 0.8
         if n > math.ceil(a) + 1:
-            assert level(n - 1, a, 240.0, 20.0, blocked) < 0.8
+            assert level(int(n) - 1, a, 240.0, 20.0, blocked) < 0.8
+
+
+def recurrence(n, a):
+    """Blocking by the recurrence over agents, from the last place where it is negligible upwards."""
+    inverse = 1.0
+    for k in range(1, n + 1):
+        inverse = 1 + inverse * k / a
+    return 1 / inverse
+
+
+def test_wait_probability_matches_the_recurrence_up_to_ten_million(spark):
+    loads = [1e-7, 0.02, 0.9, 1.0, 7.7, 55.0, 812.4, 3e4, 1e6, 1e7]
+    spread = (0.01, 0.5, 2.0, 6.0)
+    pairs = {(math.floor(a + z * math.sqrt(a)) + 1, a) for a in loads for z in spread}
+    df = spark.createDataFrame(sorted(pairs), "n long, a double")
+    for formula in ("blocking", "erlang_c"):
+        for n, a, p in df.select("n", "a", staffing.wait_probability(F.col("n"), F.col("a"), formula)).collect():
+            b = recurrence(n, a)
+            want = b if formula == "blocking" else n * b / (n - a * (1 - b))
+            assert p == pytest.approx(want, rel=1e-9), (formula, n, a)
+
+
+@pytest.mark.parametrize("answer, target", [(20.0, 0.8), (0.0, 0.95), (5.0, 1.0)])
+@pytest.mark.parametrize("formula", ["blocking", "erlang_c"])
+def test_halving_finds_what_a_walk_over_agents_finds(spark, formula, answer, target):
+    cfg = StaffingAssumptions(formula=formula, answer_time_seconds=answer, service_level_target=target)
+    loads = [0.01, 0.5, 1.0, 4.0, 9.99, 33.3, 127.0, 400.5]
+    df = spark.createDataFrame([(a,) for a in loads], "a double")
+    for a, n in df.select("a", staffing.agents_for_level(F.col("a"), F.lit(180.0), cfg)).collect():
+        def meets(k):
+            b = recurrence(k, a)
+            p = b if formula == "blocking" else k * b / (k - a * (1 - b))
+            return 1 - p * math.exp(-(k - a) * answer / 180.0) >= target
+        k = max(1, math.ceil(a) + 1)
+        while not meets(k):
+            k += 1
+        # A target of 1 is met where the rest drops below the last bit, on which both may differ by one.
+        assert abs(n - k) <= (1 if target == 1.0 else 0)
+
+
+def test_plans_need_no_python_worker_and_leave_unusable_loads_without_agents(spark):
+    df = spark.createDataFrame(
+        [(1e9, 3600.0), (float("inf"), 300.0), (float("nan"), 300.0)], "volume double, average_handle_time double")
+    plan_ = staffing.staffing_plan(df)
+    assert "Python" not in plan_._jdf.queryExecution().toString()
+    huge, *rest = plan_.collect()
+    assert huge["workload"] == 1e9 and huge["productive_agents"] == math.ceil(1e9 / 0.85)
+    assert all(r["productive_agents"] is None and r["service_level_estimated"] is None for r in rest)
 
 
 def test_more_volume_needs_no_fewer_agents(spark):
