@@ -44,6 +44,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def present(spark: SparkSession, path: str) -> bool:
+    """Whether the shared store has this folder."""
+    store, where = _files(spark, path)
+    return store.exists(where)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store that nothing reads any more."""
+    store, where = _files(spark, path)
+    store.delete(where, True)
+
+
 #: Spark removes the shuffle files of a query once it has ended.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

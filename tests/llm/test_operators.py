@@ -77,19 +77,51 @@ def test_empty_tables_give_no_rows(empty):
     assert quality_votes.score_documents(empty, None).count() == 0
 
 
-def test_exact_dedup_on_edges_and_batches(spark, edge):
+def test_exact_dedup_on_edges(spark, edge):
     rows = exact_dedup.dedup_documents(edge).collect()
     assert len(rows) == 16
     by = {r["doc_id"]: r for r in rows}
     assert by[1]["keep_id"] == 0 and not by[1]["kept"] and by[0]["group_size"] == 2
     assert by[6]["keep_id"] == 5 and by[12]["keep_id"] == 11
+    assert sorted(r["kept"] for r in rows if r["doc_id"] == 9) == [False, True]
+    assert sum(r["kept"] for r in rows) == len({r["digest"] for r in rows})
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("digest_index_")]
+
+
+def test_digest_index_counts_over_three_batches(spark, edge):
     index = exact_dedup.DigestIndex(spark, "dedup_batches", 3, new_path(spark, "index"))
-    first = index.add(edge.where("doc_id < 6")).collect()
+    first = index.add(edge.where("doc_id < 6"), "a").collect()
     assert sum(r["kept"] for r in first) == 5
-    later = {r["doc_id"]: r for r in index.add(edge.where("doc_id = 6 or doc_id = 11")).collect()}
+    later = {r["doc_id"]: r for r in index.add(edge.where("doc_id = 6 or doc_id = 11"), "b").collect()}
     assert later[6]["keep_id"] == 5 and not later[6]["kept"] and later[6]["group_size"] == 2
     assert later[11]["kept"]
-    spark.sql("DROP TABLE dedup_batches")
+    copies = edge.where("doc_id = 6").withColumn("doc_id", F.lit(50).cast("long"))
+    (third,) = index.add(copies, "c").collect()
+    assert (third["keep_id"], third["group_size"], third["kept"]) == (5, 3, False)
+    plan = index.texts()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    index.drop()
+
+
+def test_digest_index_outlives_its_session_and_takes_a_batch_again(spark, edge):
+    path = new_path(spark, "kept-index")
+    index = exact_dedup.DigestIndex(spark, "before_restart", 3, path)
+    index.add(edge.where("doc_id in (5, 8)"), "monday").count()
+    spark.sql("DROP TABLE before_restart")  # the catalog forgets the table, as a new session does; the files stay
+
+    index = exact_dedup.DigestIndex(spark, "after_restart", 3, path)
+    batch = edge.where("doc_id in (6, 11, 12)")
+    once = {r["doc_id"]: r["kept"] for r in index.add(batch, "tuesday").collect()}
+    assert once == {6: False, 11: True, 12: False}
+    again = {r["doc_id"]: r["kept"] for r in index.add(batch, "tuesday").collect()}
+    assert again == once
+    size = {r["doc_id"]: r["group_size"] for r in index.add(batch, "tuesday").collect()}
+    assert size == {6: 2, 11: 2, 12: 2}
+    assert index.rows().where("first").count() == 3
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex(spark, "other_buckets", 5, path).add(batch, "wednesday")
+    assert not spark.catalog.tableExists("other_buckets")
+    index.drop()
 
 
 def base_counts(text):
