@@ -11,6 +11,7 @@ So the probabilities of all 256 bytes add up to one in every context, and a text
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +26,9 @@ ORDER = 4
 #: Documents per language from which counts are taken, about; chosen by hash from all of them.
 SAMPLE_DOCS = 1200
 
-_NO_LETTER = re.compile(r"[\W\d_]+")
+#: Numerics that are no decimal digits, such as fractions and circled numbers: word characters, yet no letters.
+_NUMERIC = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
+_NO_LETTER = re.compile(rf"[\W\d_{_NUMERIC}]+")
 
 
 def remainder(doc_id: Column, by: int) -> Column:

@@ -124,6 +124,12 @@ def test_digest_index_outlives_its_session_and_takes_a_batch_again(spark, edge):
     index.drop()
 
 
+def test_numerics_that_are_no_letters_name_no_language():
+    for text in ("\u00bd", "\u00b2 \u2460", "3\u00be", "\u2167 12 _", None, " "):
+        assert language.letters(text) == b""
+    assert language.letters("1\u00bd Tassen, \u00c4pfel \u65e5\u672c") == "tassen \u00e4pfel \u65e5\u672c".encode()
+
+
 def base_counts(text):
     text = text or ""
     words = WORD.findall(text)
