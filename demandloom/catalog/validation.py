@@ -259,8 +259,7 @@ def drift_mean_shift(spark, folder):
     )
 
 
-@query("drift_ks", "column:s ks:6 drifted:i",
-       f"""lines AS (SELECT CAST(l_shipdate AS DATE) AS date, * FROM lineitem),
+KS_GAPS = f"""lines AS (SELECT CAST(l_shipdate AS DATE) AS date, * FROM lineitem),
        long AS ({" UNION ALL ".join(
            f"SELECT '{c}' AS col, {c} AS v, {EARLY} AS early FROM lines" for c in MEASURES)}),
        counts AS (SELECT col, v, count(*) FILTER (WHERE early) AS a,
@@ -268,14 +267,29 @@ def drift_mean_shift(spark, folder):
        running AS (SELECT col, sum(a) OVER w / sum(a) OVER (PARTITION BY col) AS fa,
                           sum(b) OVER w / sum(b) OVER (PARTITION BY col) AS fb
                    FROM counts WINDOW w AS (PARTITION BY col ORDER BY v)),
-       gaps AS (SELECT col, max(abs(fa - fb)) AS ks FROM running GROUP BY 1) =>
-       SELECT col AS "column", ks, CAST(ks > 0.1 AS INTEGER) AS drifted FROM gaps""")
+       gaps AS (SELECT col, max(abs(fa - fb)) AS ks FROM running GROUP BY 1)"""
+
+
+@query("drift_ks", "column:s ks:6 drifted:i",
+       f"""{KS_GAPS} => SELECT col AS "column", ks, CAST(ks > 0.1 AS INTEGER) AS drifted FROM gaps""")
 def drift_ks(spark, folder):
     lines = table(spark, folder, "lineitem").withColumn("date", F.to_date("l_shipdate"))
     ks = quantiles.two_sample_ks(lines.where(EARLY), lines.where(f"NOT ({EARLY})"), MEASURES)
     return validate.drift_alerts(ks)
 
 
+@query("drift_binned", "column:s drifted:i within:i",
+       f"""{KS_GAPS} => SELECT col AS "column", CAST(ks > 0.1 AS INTEGER) AS drifted, 1 AS within FROM gaps""")
+def drift_binned(spark, folder):
+    """Drift against stored bins; ``within`` says that the whole statistic lies between the bounds."""
+    lines = table(spark, folder, "lineitem").withColumn("date", F.to_date("l_shipdate"))
+    early, late = lines.where(EARLY), lines.where(f"NOT ({EARLY})")
+    found = quantiles.binned_drift(quantiles.reference_bins(early, MEASURES), late, 0.1, early)
+    whole = quantiles.two_sample_ks(early, late, MEASURES)
+    within = F.col("ks").between(F.col("ks_low") - 1e-9, F.col("ks_high") + 1e-9).cast("int")
+    return found.join(whole, "column").select("column", "drifted", within.alias("within"))
+
+
 NUMBERED = f"""{PANEL},
 numbered AS (SELECT *, row_number() OVER (ORDER BY date, store_id) - 1 AS position,
                     count(*) OVER () AS n FROM panel),

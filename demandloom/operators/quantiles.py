@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
+from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -181,3 +184,126 @@ def two_sample_ks(
         - F.try_divide(F.col("bb") + F.col("rb"), "nb")
     )
     return running.join(offsets, ["column", "__slice"]).groupBy("column").agg(F.max(gap).alias("ks"))
+
+
+#: Bins per column of a stored sample; what is held on the driver is columns x bins edges.
+BINS = 1024
+
+
+def _binned(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    """``column, value, bin`` of every finite value; a bin reaches from its edge up to the next one."""
+    parts = []
+    for column, inner in edges.items():
+        rows = df.select(F.lit(column).alias("column"), F.col(column).cast("double").alias("value"))
+        # Without edges there is no row to place; any one serves.
+        splits = [-math.inf, *(inner or [0.0]), math.inf]
+        place = Bucketizer(splits=splits, inputCol="value", outputCol="bin")
+        parts.append(place.transform(rows.where(finite(F.col("value")))))
+    return reduce(DataFrame.unionByName, parts).withColumn("bin", F.col("bin").cast("int"))
+
+
+def _bin_counts(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    return _binned(df, edges).groupBy("column", "bin").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("value").alias("least"), F.max("value").alias("most")
+    )
+
+
+def reference_bins(reference: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFrame:
+    """A sample as bins with exact counts, to be stored: ``column, bin, edge, rows, least, most``.
+
+    Edges are approximate quantiles, one sketch per column, so bins hold about equally many rows.
+    Tables over the same edges add up (sum the rows, min and max of the rest). A column without a
+    finite value has one empty bin. ``edge`` is null for the first bin, which has no lower one.
+    """
+    shares = [i / bins for i in range(1, bins)]
+    names = list(columns)
+    known = reference.select(
+        *[F.when(finite(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in names]
+    )
+    row = known.agg(
+        *[F.percentile_approx(c, shares, 4 * bins).alias(c) for c in names],
+        *[F.max(c).alias(f"{c} at most") for c in names],
+    ).first()
+    # The last bin begins above the sample, for values that it does not have.
+    edges = {
+        c: sorted({*row[c], math.nextafter(row[f"{c} at most"], math.inf)}) if row[c] else [] for c in names
+    }
+    spark = reference.sparkSession
+    frame = spark.createDataFrame(
+        [(c, i, e) for c in names for i, e in enumerate([None, *edges[c]])],
+        "column string, bin int, edge double",
+    )
+    counted = frame.join(_bin_counts(reference, edges), ["column", "bin"], "left")
+    return counted.withColumn("rows", F.coalesce("rows", F.lit(0)))
+
+
+def _edges(stored: DataFrame) -> dict[str, list[float]]:
+    """Edges by column, from a stored table of at most columns x bins rows."""
+    rows = stored.select("column", "edge").collect()
+    return {c: sorted(r["edge"] for r in rows if r["column"] == c and r["edge"] is not None)
+            for c in sorted({r["column"] for r in rows})}
+
+
+def _gaps(stored: DataFrame, current: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+    """Per bin: both shares before and up to its end, and bounds on the gap inside it."""
+    now = _bin_counts(current, edges).withColumnsRenamed({"rows": "b", "least": "b_least", "most": "b_most"})
+    met = stored.withColumnRenamed("rows", "a").join(now, ["column", "bin"], "left").fillna(0, ["b"])
+    every = Window.partitionBy("column")
+    upto = every.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    met = met.withColumns({"na": F.sum("a").over(every), "nb": F.sum("b").over(every)})
+    met = met.withColumns(
+        {"a_end": F.try_divide(F.sum("a").over(upto), "na"), "b_end": F.try_divide(F.sum("b").over(upto), "nb")}
+    )
+    met = met.withColumns(
+        {"a_start": F.col("a_end") - F.try_divide("a", "na"), "b_start": F.col("b_end") - F.try_divide("b", "nb")}
+    )
+    # Where all rows of a bin, on both sides, have one value, its only step is its end.
+    one = F.greatest("most", "b_most") == F.least("least", "b_least")
+    at_end = F.abs(F.col("a_end") - F.col("b_end"))
+    inside = F.greatest(F.col("a_end") - F.col("b_start"), F.col("b_end") - F.col("a_start"))
+    return met.withColumns({"low": at_end, "high": F.when(one, at_end).otherwise(inside)})
+
+
+def binned_drift(
+    stored: DataFrame, current: DataFrame, limit: float = 0.1, reference: DataFrame | None = None
+) -> DataFrame:
+    """Kolmogorov-Smirnov drift of ``current`` against stored bins: ``column, ks_low, ks_high, drifted``.
+
+    The statistic lies between ``ks_low``, the largest gap at the end of a bin, and ``ks_high``.
+    Both come from counts alone, so the stored sample is not read. Where the limit lies between
+    them, ``drifted`` is null, or decided exactly if ``reference`` has the rows behind ``stored``:
+    only the values of bins that can pass the limit are counted then. All null for a column that
+    has no finite value on one side.
+    """
+    edges = _edges(stored)
+    gaps = _gaps(stored, current, edges)
+    bounds = gaps.groupBy("column").agg(F.max("low").alias("ks_low"), F.max("high").alias("ks_high"))
+    decided = F.when(F.col("ks_low") > limit, 1).when(F.col("ks_high") <= limit, 0)
+    bounds = bounds.withColumn("drifted", decided)
+    if reference is None:
+        return bounds
+    doubtful = {r["column"]: edges[r["column"]] for r in bounds.where("drifted IS NULL AND ks_high IS NOT NULL").collect()}
+    if not doubtful:
+        return bounds
+    can_pass = gaps.where(F.col("high") > limit).select("column", "bin", "a_start", "b_start", "na", "nb")
+    counts = (
+        _binned(reference, doubtful)
+        .withColumn("old", F.lit(1))
+        .unionByName(_binned(current, doubtful).withColumn("old", F.lit(0)))
+        # At most columns x bins rows.
+        .join(F.broadcast(can_pass), ["column", "bin"])
+        .groupBy("column", "bin", "value", "a_start", "b_start", "na", "nb")
+        .agg(F.sum("old").alias("a"), F.sum(1 - F.col("old")).alias("b"))
+    )
+    upto = Window.partitionBy("column", "bin").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    gap = F.abs(
+        F.col("a_start") + F.sum("a").over(upto) / F.col("na")
+        - F.col("b_start") - F.sum("b").over(upto) / F.col("nb")
+    )
+    exact = counts.withColumn("gap", gap).groupBy("column").agg(F.max("gap").alias("gap"))
+    passes = F.when(F.col("gap") > limit, 1).otherwise(0)
+    return (
+        bounds.join(F.broadcast(exact), "column", "left")
+        .withColumn("drifted", F.when(F.col("gap").isNull(), F.col("drifted")).otherwise(passes))
+        .drop("gap")
+    )
