@@ -27,8 +27,11 @@ ORDER = 4
 SAMPLE_DOCS = 1200
 
 #: Numerics that are no decimal digits, such as fractions and circled numbers: word characters, yet no letters.
-_NUMERIC = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
-_NO_LETTER = re.compile(rf"[\W\d_{_NUMERIC}]+")
+#: A class of its own, as one with categories beside so many characters is matched one by one.
+_NUMERIC = re.compile(
+    "[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not (c.isdecimal() or c.isalpha())) + "]"
+)
+_NO_LETTER = re.compile(r"[\W\d_]+")
 
 
 def remainder(doc_id: Column, by: int) -> Column:
@@ -38,7 +41,10 @@ def remainder(doc_id: Column, by: int) -> Column:
 
 def letters(text: str | None) -> bytes:
     """Lower-case words of letters, one space between; empty if there is no letter."""
-    return _NO_LETTER.sub(" ", (text or "").lower()).strip(" ").encode("utf-8", "replace")
+    lower = (text or "").lower()
+    if not lower.isascii():
+        lower = _NUMERIC.sub(" ", lower)
+    return _NO_LETTER.sub(" ", lower).strip(" ").encode("utf-8", "replace")
 
 
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
