@@ -27,9 +27,9 @@ ORDER = 4
 SAMPLE_DOCS = 1200
 
 #: Numerics that are no decimal digits, such as fractions and circled numbers: word characters, yet no letters.
-#: A class of its own, as one with categories beside so many characters is matched one by one.
-_NUMERIC = re.compile(
-    "[" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not (c.isdecimal() or c.isalpha())) + "]"
+#: A set, as a pattern with so many characters is matched one by one.
+_NUMERIC = frozenset(
+    c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not (c.isdecimal() or c.isalpha())
 )
 _NO_LETTER = re.compile(r"[\W\d_]+")
 
@@ -43,7 +43,8 @@ def letters(text: str | None) -> bytes:
     """Lower-case words of letters, one space between; empty if there is no letter."""
     lower = (text or "").lower()
     if not lower.isascii():
-        lower = _NUMERIC.sub(" ", lower)
+        for numeric in _NUMERIC.intersection(lower):
+            lower = lower.replace(numeric, " ")
     return _NO_LETTER.sub(" ", lower).strip(" ").encode("utf-8", "replace")
 
 
