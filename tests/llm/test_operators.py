@@ -2,11 +2,13 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -248,6 +250,61 @@ def test_chunks_with_special_tokens_and_marks_encode_as_alone():
         assert [list(np.frombuffer(f, np.uint32)) for f in found] == [ids for _, ids in some]
 
 
+def chunk_mix(number: int) -> list[str]:
+    """Distinct chunks: plain ones, and some that need the tokenizer's normalising or its patterns."""
+    pick = random.Random(number)
+    odd = ["'s", "a's", "x'd", "<|endoftext|>", "<|", "x<", "|>y", "\u00c9t\u00e9", "e\u0301", "\u0301", "\u00aa1\u00bd",
+           "\u65e5\u672c", "a\x1cb", "\u00a0x", "\u00d7\u00f7", "\x00", "a\x85b", "\u0130i", "\u00b5m", "`~^_"]
+    plain = {"".join(pick.choices("aeinrst\u00e9\u00fc\u00df\u00ff1234567890.,!$%&*#-()[]{}|<>\"", k=pick.randint(1, 12))) for _ in range(number)}
+    return sorted(odd) + sorted(plain - set(odd))
+
+
+def test_distinct_chunks_encode_as_by_the_whole_tokenizer():
+    chunks = chunk_mix(3000)
+    ids, lengths = tokens.encode_distinct(pa.array(chunks), TOKENIZER)
+    whole = tokens._tokenizer(TOKENIZER)
+    ends = np.cumsum(lengths)
+    for chunk, a, b in zip(chunks, ends - lengths, ends):
+        assert ids[a:b].tolist() == whole.encode(chunk, add_special_tokens=False).ids, chunk
+    assert [len(x) for x in tokens.encode_distinct(pa.array([], pa.string()), TOKENIZER)] == [0, 0]
+
+
+def test_plain_chunks_need_no_patterns_and_little_memory(monkeypatch):
+    monkeypatch.setattr(tokens, "_SEEN", {})
+    given = []
+    pattern_path = tokens.encode_chunks
+    monkeypatch.setattr(tokens, "encode_chunks", lambda c, path: given.extend(c) or pattern_path(c, path))
+    words = [f"{a}{b}{c}{d}{e}{s}" for a in "bdfgkl" for b in "aeiou" for c in "mnprst" for d in "aeiou" for e in "dklnrst" for s in ("", ",", ".", "a", "en")]
+    texts = pa.array([" ".join(words), "don't"])
+    tokens.encode(texts.slice(1), TOKENIZER)
+    tokens.encode(pa.array(["warm up"]), TOKENIZER)
+    tracemalloc.start()
+    try:
+        tokens.encode(texts, TOKENIZER)
+        held, _ = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert given == ["don't"]
+    assert held < 120 * len(words)
+
+
+def test_forgotten_chunks_encode_the_same(monkeypatch):
+    monkeypatch.setattr(tokens, "_SEEN", {})
+    monkeypatch.setattr(tokens, "REMEMBERED", 300)
+    whole = tokens._tokenizer(TOKENIZER)
+    pick = random.Random(5)
+    rare = chunk_mix(400)
+    often = ["again", "and", "again,"]
+    for _ in range(12):
+        texts = [" ".join([*often, *pick.choices(rare, k=40)]) for _ in range(2)]
+        ids, offsets = tokens.encode(pa.array(texts), TOKENIZER)
+        for text, a, b in zip(texts, offsets, offsets[1:]):
+            assert ids[a:b].tolist() == whole.encode(text, add_special_tokens=False).ids
+    (kept,) = tokens._SEEN.values()
+    kept._forget()
+    assert set(often) <= set(kept.names.to_pylist())
+
+
 def test_packing_places_every_piece(edge):
     pieces = packing.cut(edge, TOKENIZER, with_ids=True).collect()
     spark = edge.sparkSession
