@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 #: Text per block and per part of the key space; both numbers grow with the corpus.
 BLOCK_BYTES = 8_000_000
 PART_BYTES = 24_000_000
+#: Keys of a part that are sorted and added up at a time.
+SLICE_KEYS = 250_000
 
 #: ``block`` -1 marks a row of statistics.
 ANSWER = "block int, part int, counts binary, stats array<double>"
@@ -53,9 +55,11 @@ def to_bytes(values: np.ndarray) -> bytes:
     return bytes([width]) + values.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def from_bytes(data: bytes) -> np.ndarray:
+def from_bytes(data: bytes | pa.Buffer, first: int = 0, end: int | None = None) -> np.ndarray:
+    """The numbers of :func:`to_bytes`, or those from place ``first`` up to ``end``."""
     width = data[0]
-    raw = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
+    count = -1 if end is None else (end - first) * width
+    raw = np.frombuffer(data, np.uint8, count, 1 + first * width).reshape(-1, width)
     out = np.zeros((len(raw), 8), np.uint8)
     out[:, :width] = raw
     return out.view(np.uint64).ravel()
@@ -66,7 +70,7 @@ def _sorted_bytes(keys: np.ndarray) -> bytes:
     return keys[:1].tobytes() + to_bytes(np.diff(keys))
 
 
-def _sorted_numbers(data: bytes) -> np.ndarray:
+def _sorted_numbers(data: bytes | pa.Buffer) -> np.ndarray:
     first = np.frombuffer(data, np.uint64, count=1)
     return np.cumsum(np.concatenate([first, from_bytes(data[8:])]), dtype=np.uint64)
 
@@ -97,27 +101,45 @@ def totals(
     statistics: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
     drop: np.uint64 = np.uint64(0),
 ) -> DataFrame:
-    """Answers to the blocks, and with ``statistics(keys, totals)`` one row of sums per part."""
+    """Answers to the blocks, and with ``statistics(keys, totals)`` one row of sums per part.
+
+    Blocks send sorted keys, so a part is added up in slices of the key space, each cut from all
+    blocks alike: beside the keys, which give way to their totals, only a slice is held unpacked.
+    """
 
     def add(table: pa.Table) -> pa.Table:
-        keys = [_sorted_numbers(k) << drop for k in table.column("keys").to_pylist()]
-        lengths = [len(k) for k in keys]
-        flat = np.concatenate(keys)
-        count = np.concatenate([from_bytes(c) for c in table.column("counts").to_pylist()])
-        order = np.argsort(flat, kind="stable")
-        flat, count = flat[order], count[order]
-        first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-        total = np.add.reduceat(count, first)
-        answer = np.empty(len(flat), np.uint64)
-        answer[order] = np.repeat(total, np.diff(np.append(first, len(flat))))
-        ends = np.cumsum(lengths)
+        runs = [_sorted_numbers(k.as_buffer()) << drop for k in table.column("keys")]
+        counted = [c.as_buffer() for c in table.column("counts")]
+        low, high = min(int(r[0]) for r in runs), max(int(r[-1]) for r in runs)
+        slices = 1 + sum(map(len, runs)) // SLICE_KEYS
+        inner = np.array([low + (high - low) * i // slices for i in range(1, slices)], np.uint64)
+        cuts = [np.concatenate([[0], np.searchsorted(r, inner), [len(r)]]).tolist() for r in runs]
+        sums = []
+        for i in range(slices):
+            pieces = [r[c[i] : c[i + 1]] for r, c in zip(runs, cuts)]
+            flat = np.concatenate(pieces)
+            if not len(flat):
+                continue
+            count = np.concatenate([from_bytes(b, c[i], c[i + 1]) for b, c in zip(counted, cuts)])
+            order = np.argsort(flat, kind="stable")
+            flat, count = flat[order], count[order]
+            first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+            total = np.add.reduceat(count, first)
+            answer = np.empty(len(flat), np.uint64)
+            answer[order] = np.repeat(total, np.diff(np.append(first, len(flat))))
+            if statistics is not None:
+                sums.append(statistics(flat[first], total))
+            done = 0
+            for piece in pieces:
+                piece[:] = answer[done : done + len(piece)]
+                done += len(piece)
         block = table.column("block").to_pylist()
         part = table.column("part").to_pylist()
         stats: list = [None] * len(block)
-        counts: list = [to_bytes(answer[e - n : e]) for e, n in zip(ends, lengths)]
+        counts: list = [to_bytes(r) for r in runs]
         if statistics is not None:
             block, part, counts = [*block, -1], [*part, part[0]], [*counts, None]
-            stats = [*stats, statistics(flat[first], total)]
+            stats = [*stats, np.sum(sums, axis=0)]
         return pa.table(
             {
                 "block": pa.array(block, pa.int32()),

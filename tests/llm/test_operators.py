@@ -413,6 +413,44 @@ def test_bytes_and_parts_of_keys_round_trip():
     assert np.array_equal(np.concatenate(back), keys)
 
 
+class Applied:
+    """Stands for a DataFrame: gives the function that ``totals`` applies to a part."""
+
+    def groupBy(self, key):
+        return self
+
+    def applyInArrow(self, function, schema):
+        return function
+
+
+def test_a_part_is_added_up_in_little_memory():
+    random_ = np.random.default_rng(3)
+    drop = np.uint64(7)
+    shared = random_.integers(0, 2**56, 15_000, dtype=np.uint64) << drop
+    runs, counts = [], []
+    for _ in range(40):
+        own = random_.integers(0, 2**56, 20_000, dtype=np.uint64) << drop
+        runs.append(np.unique(np.concatenate([own, random_.choice(shared, 10_000)])))
+        counts.append(random_.integers(0, 400, len(runs[-1])).astype(np.uint64))
+    table = pa.concat_tables([key_counts.sent(i, k, c, 1, drop) for i, (k, c) in enumerate(zip(runs, counts))])
+    different, place = np.unique(np.concatenate(runs), return_inverse=True)
+    total = np.zeros(len(different), np.uint64)
+    np.add.at(total, place, np.concatenate(counts))
+    add = key_counts.totals(Applied(), lm_score.statistics, drop)
+    tracemalloc.start()
+    try:
+        out = add(table)
+        _, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    rows = out.filter(pa.compute.greater_equal(out.column("block"), 0)).sort_by("block")
+    for run, found in zip(runs, rows.column("counts").to_pylist()):
+        assert np.array_equal(key_counts.from_bytes(found), total[np.searchsorted(different, run)])
+    (stats,) = [x for x in out.column("stats").to_pylist() if x is not None]
+    assert np.array_equal(stats, lm_score.statistics(different, total))
+    assert peak < 5 * sum(r.nbytes for r in runs)
+
+
 def test_lm_base_is_exact_and_arcs_add_up(spark, edge):
     docs = edge.select("doc_id", (F.coalesce("doc_id", F.lit(0)) == 11).alias("held_out"), "text")
     rows = lm_score.score_documents(docs).collect()
